@@ -18,6 +18,7 @@ from tallywatch.config import DAY_SECONDS, DEFAULTS, HOUR_SECONDS, Settings
 from tallywatch.functions.expressions import epoch_seconds, ratio, tie_key
 from tallywatch.operators.gold import NIGHT_END_HOUR
 from tallywatch.operators.skew import heavy_keys, lookup
+from tallywatch.session import written
 
 # Names and order of the model inputs.
 FEATURE_COLS = [
@@ -56,7 +57,7 @@ def build_features(
 ) -> DataFrame:
     """``txns`` with the feature columns added.
 
-    ``txns`` is read up to three times; give it a table, not a long plan.
+    ``txns`` is read more than once; give it a table, not a long plan.
     ``hot_customers`` may name the customers too large for one task if a profile
     table already has the counts; otherwise they are counted here.
     """
@@ -64,11 +65,14 @@ def build_features(
         {"_sec": epoch_seconds(F.col("event_ts")), "_tie": tie_key(F.col("transaction_id"))}
     )
     if hot_customers is None:
-        hot_customers = heavy_keys(txns, "customer_id", settings)
-    hot = F.broadcast(hot_customers.select("customer_id"))
-    history = _windowed(rows.join(hot, "customer_id", "left_anti")).unionByName(
-        _decomposed(rows.join(hot, "customer_id", "left_semi"))
-    )
+        hot_customers = written(heavy_keys(txns, "customer_id", settings), "hot-customers")
+    if hot_customers.isEmpty():
+        history = _windowed(rows)
+    else:
+        hot = F.broadcast(hot_customers.select("customer_id"))
+        history = _windowed(rows.join(hot, "customer_id", "left_anti")).unionByName(
+            _decomposed(rows.join(hot, "customer_id", "left_semi"))
+        )
     return _derive(lookup(history, risk, "merchant_id", F.col("transaction_id"), settings), settings).select(
         *txns.columns, *[c for c in FEATURE_COLS if c not in txns.columns]
     )

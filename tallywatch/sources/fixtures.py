@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywatch.functions.expressions import stable_round
+from tallywatch.operators.dedup import first_arrivals
 from tallywatch.session import prepare
 
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -60,24 +62,29 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw rows as a Bronze table would hold them, with fixed lineage."""
     return raw_transactions(spark, sf_dir).withColumns(
         {
-            "_source_file": F.concat(F.lit("transactions_"), F.coalesce("feed_date", F.lit("none")), F.lit(".jsonl")),
+            "_source_file": F.format_string("transactions_%s.jsonl", F.col("feed_date")),
             "_ingested_at": F.to_timestamp(F.lit(INGESTED_AT)) + F.make_dt_interval(secs=F.col("copy_no")),
         }
     )
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows as feed objects: numbers as numbers, some with an unknown field."""
+    """The raw rows as feed objects: numbers mostly as numbers, some with an unknown field."""
     rows = raw_transactions(spark, sf_dir)
-    promo = F.when(_every(307, 0), F.concat(F.lit("P"), F.col("event_id") % 50))
-    return rows.withColumns(
-        {"is_fraud": F.col("is_fraud").cast("int"), "promo_code": promo}
-    ).drop("event_id", "copy_no")
+    promo = F.when(_every(307, 0), F.concat(F.lit("P"), F.col("event_id") % 50)).alias("promo_code")
+    number = F.col("amount").try_cast("double")
+    as_text = number.isNull() | _every(13, 4)
+    before = ["transaction_id", "event_ts", "customer_id", "merchant_id", "merchant_category"]
+    after = ["currency", "country", "device_id", "channel"]
+    rest = [*after, F.col("is_fraud").cast("int").alias("is_fraud"), "fraud_type", promo]
+    numeric = F.to_json(F.struct(*before, number.alias("amount"), *rest))
+    textual = F.to_json(F.struct(*before, "amount", *rest))
+    return rows.select("feed_date", F.when(as_text, textual).otherwise(numeric).alias("value"))
 
 
-def write_feed(lines: DataFrame, folder: str, mode: str = "append") -> None:
-    """One folder of JSON-lines files per feed date."""
-    lines.repartition("feed_date").write.mode(mode).partitionBy("feed_date").json(folder)
+def write_feed(lines: DataFrame, folder: str) -> None:
+    """Add JSON-lines files, in one folder per feed date."""
+    lines.repartition("feed_date").write.mode("append").partitionBy("feed_date").text(folder)
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,3 +113,26 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scorecard(transaction_id: Column, multiplier: int = 7919) -> Column:
     """A fixed score with ties, 0 and 1 included, in place of a model."""
     return F.pmod(transaction_id.cast("long") * multiplier, F.lit(1001)) / F.lit(1000.0)
+
+
+def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the repeated (order, line) keys reduced to one row each."""
+    order = [F.col(c) for c in ("l_shipdate", "amount", "l_quantity", "l_partkey", "merchant_id")]
+    rows = first_arrivals(order_lines(spark, sf_dir), ["transaction_id"], order)
+    return rows.drop("l_shipdate", "l_quantity", "l_partkey")
+
+
+def points(features: DataFrame) -> DataFrame:
+    """A fixed points score on the features, in place of a model."""
+    over = stable_round(F.col("amount_over_avg"), 6)
+    total = (
+        F.coalesce("is_foreign", F.lit(0)) * 200
+        + F.col("is_new_device") * 150
+        + F.col("is_night") * 100
+        + F.least("txn_count_1h", F.lit(2)) * 60
+        + F.least("txn_count_24h", F.lit(5)) * 40
+        + F.when(over > 2, 200).otherwise(0)
+        + F.when(F.col("amount") > 100, 100).otherwise(0)
+        + F.when(F.col("seconds_since_prev_txn") < 7200, 50).otherwise(0)
+    )
+    return features.withColumn("fraud_score", total / F.lit(1000.0))
