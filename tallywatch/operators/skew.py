@@ -32,6 +32,13 @@ def fits_broadcast(df: DataFrame, settings: Settings = DEFAULTS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def join_small(big: DataFrame, small: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """Inner join on a unique key; ``small`` is broadcast if its row count allows."""
+    if fits_broadcast(small.select(key), settings):
+        small = F.broadcast(small)
+    return big.join(small, key)
+
+
 def lookup(
     facts: DataFrame,
     dimension: DataFrame,

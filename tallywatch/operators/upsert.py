@@ -24,17 +24,21 @@ def require_unique(batch: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"batch has several rows for {[repeated[0][k] for k in keys]} of {keys}")
 
 
-def upsert_into(table: VersionedTable, batch: DataFrame, keys: list[str]) -> int:
+def upsert_into(
+    table: VersionedTable, batch: DataFrame, keys: list[str], keys_move: bool = True
+) -> int:
     """Upsert into a stored table, rewriting only partitions that hold a batch key.
 
     A key may have moved to another partition, so the partitions to rewrite are
-    found by key over the whole table; that pass reads the key columns only.
+    found by key over the whole table; that pass reads the key columns only. If
+    the partition value of a key never changes, ``keys_move=False`` saves it.
     """
     require_unique(batch, keys)
     part = table.partition
-    current = table.read()
-    hit = current.select(*keys, part).join(batch.select(*keys), keys, "left_semi")
-    touched = hit.select(part).union(batch.select(part)).distinct()
+    touched = batch.select(part).distinct()
+    if keys_move and part not in keys:
+        hit = table.read().select(*keys, part).join(batch.select(*keys), keys, "left_semi")
+        touched = touched.union(hit.select(part)).distinct()
     # one value per partition folder
     values = [_folder_value(row[0]) for row in touched.collect()]
     return table.replace(upsert(table.read(values=values), batch, keys), values)

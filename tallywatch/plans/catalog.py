@@ -159,6 +159,11 @@ def _shown(rows: DataFrame) -> DataFrame:
     )
 
 
+def _risk_table(train: DataFrame) -> DataFrame:
+    """The risk snapshot in storage, as scoring would read it."""
+    return written(features.merchant_risk(train), "risk")
+
+
 def merchant_risk(spark, sf_dir):
     risk = features.merchant_risk(_train_rows(_silver_table(spark, sf_dir)))
     return risk.withColumn("merchant_fraud_rate", stable_round(F.col("merchant_fraud_rate"), 8))
@@ -172,12 +177,12 @@ def time_split(spark, sf_dir):
 
 def feature_rows(spark, sf_dir):
     txns = _silver_table(spark, sf_dir)
-    return _shown(features.build_features(txns, features.merchant_risk(_train_rows(txns))))
+    return _shown(features.build_features(txns, _risk_table(_train_rows(txns))))
 
 
 def feature_rows_orders(spark, sf_dir):
     txns = written(fixtures.order_transactions(spark, sf_dir), "order-transactions")
-    return _shown(features.build_features(txns, features.merchant_risk(txns)))
+    return _shown(features.build_features(txns, _risk_table(txns)))
 
 
 def class_weights(spark, sf_dir):
@@ -270,7 +275,7 @@ def _predictions(txns: DataFrame, multiplier: int, version: int, settings=DEFAUL
 
 def _batch(spark: SparkSession, sf_dir: str, scorer: scoring.Scorer, date: str) -> DataFrame:
     txns = _silver_table(spark, sf_dir)
-    risk = features.merchant_risk(_train_rows(txns))
+    risk = _risk_table(_train_rows(txns))
     return scoring.batch_score(txns, risk, scorer, 1, date, _scored_at())
 
 
@@ -460,7 +465,7 @@ def star_fraud_by_month(spark, sf_dir):
 def _trained(spark: SparkSession, sf_dir: str, fit, name: str) -> DataFrame:
     """Metrics on the test window of a model fitted on the training window."""
     txns = _silver_table(spark, sf_dir)
-    risk = written(features.merchant_risk(_train_rows(txns)), "risk")
+    risk = _risk_table(_train_rows(txns))
     rows = features.time_split(
         features.build_features(txns, risk), features.split_bounds(txns)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS, Settings
 from tallywatch.functions.expressions import ratio, stable_round
+from tallywatch.operators.skew import join_small
 
 
 def daily_volumes(daily: DataFrame) -> DataFrame:
@@ -30,9 +31,8 @@ def review_queue(preds: DataFrame, silver: DataFrame) -> DataFrame:
     """Alerts of the latest date, best score first."""
     alerts = preds.where((F.col("is_alert") == 1) & (F.to_date("event_ts") == _latest_date(preds)))
     details = silver.select("transaction_id", "merchant_id", "merchant_category", "country", "channel")
-    # the alerts of one day are within the daily budget
     return (
-        details.join(F.broadcast(alerts), "transaction_id")
+        join_small(details, alerts, "transaction_id")
         .orderBy(F.desc("fraud_score"), "transaction_id")
         .select(
             "transaction_id",

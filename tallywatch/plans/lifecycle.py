@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -22,10 +23,13 @@ from tallywatch.plans.registry import Registry
 from tallywatch.session import exists, written
 from tallywatch.sources.feed import read_bronze
 from tallywatch.sources.tables import VersionedTable
-from tallywatch.streaming.ingest import Layers, read_silver, run_update
+from tallywatch.streaming.ingest import Layers, read_quarantine, read_silver, run_update
 
-GOLD = {
-    "gold_daily_kpis": gold.daily_kpis,
+DAILY_DDL = (
+    "txn_date DATE, txn_count BIGINT, total_amount DOUBLE, fraud_count BIGINT, "
+    "fraud_amount DOUBLE, fraud_rate_pct DOUBLE, active_customers BIGINT"
+)
+WHOLE_HISTORY = {
     "gold_merchant_stats": gold.merchant_stats,
     "gold_customer_profiles": gold.customer_profiles,
 }
@@ -57,16 +61,65 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return read_silver(self.spark, self.layers)
 
+    @property
+    def daily(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.layers.gold("gold_daily_kpis"), DAILY_DDL, "txn_date")
+
     def update(self) -> dict[str, int]:
-        """Take in new feed files and recompute the aggregates."""
+        """Take in new feed files and refresh the aggregates."""
         counts = run_update(self.spark, self.layers, self.settings)
         self.refresh_gold()
         return counts
 
     def refresh_gold(self) -> None:
-        for name, build in GOLD.items():
+        """Recompute the aggregates; for the daily one, only dates that may have changed.
+
+        Silver takes no row further behind its newest event than the watermark
+        delay, so after a refresh that reached some date, only dates from that
+        delay before it can still change.
+        """
+        recent = self.silver()
+        done = self.daily.partitions()
+        if done:
+            since = dt.date.fromisoformat(done[-1]) - dt.timedelta(days=self.settings.watermark_days)
+            recent = recent.where(F.col("event_date") >= F.lit(since))
+        daily = written(gold.daily_kpis(recent), "daily")
+        dates = [str(row[0]) for row in daily.select("txn_date").collect()]  # one row per day
+        self.daily.replace(daily, dates)
+        for name, build in WHOLE_HISTORY.items():
             build(self.silver()).write.mode("overwrite").parquet(self.layers.gold(name))
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The tables that exist so far, under the names reports use."""
+        stored = {
+            "bronze_transactions": (self.layers.bronze, lambda p: read_bronze(self.spark, p)),
+            "silver_transactions": (self.layers.silver, lambda p: self.silver()),
+            "silver_transactions_quarantine": (
+                self.layers.rejected,
+                lambda p: read_quarantine(self.spark, self.layers),
+            ),
+            "gold_daily_kpis": (self.daily.path, lambda p: self.daily.read()),
+            "ml_predictions": (self.predictions.path, lambda p: self.predictions.read()),
+            "ml_monitoring_metrics": (self.monitoring.path, lambda p: self.monitoring.read()),
+        }
+        for name in WHOLE_HISTORY:
+            stored[name] = (self.layers.gold(name), self.spark.read.parquet)
+        found = {
+            name: read(path) for name, (path, read) in stored.items() if exists(self.spark, path)
+        }
+        champion = self.registry.resolve()
+        if champion is not None:
+            found["ml_merchant_risk"] = self.risk_snapshot(champion)
+            found["ml_score_baseline"] = self.baseline(champion)
+        return found
+
+    def register_views(self) -> list[str]:
+        """Make the tables available to ``spark.sql`` by name."""
+        found = self.tables()
+        for name, df in found.items():
+            df.createOrReplaceTempView(name)
+        return sorted(found)
+
     def rebuilt(self) -> tuple[DataFrame, DataFrame]:
         """Clean and rejected rows recomputed from all of Bronze, late rows included."""
         bronze = read_bronze(self.spark, self.layers.bronze)
@@ -136,10 +189,14 @@ class Warehouse:
             F.lit(name).alias("model"), "transaction_id", "is_fraud", "fraud_score"
         )
 
-    def score(self, date: str = "auto", version: int | None = None) -> int:
+    def score(
+        self, date: str = "auto", version: int | None = None, keys_move: bool = False
+    ) -> int:
         """Score a day with the champion, or with ``version``, and store it.
 
         Repeating a day, or re-scoring it after a rollback, replaces its rows.
+        A clean row keeps its event time, so a prediction keeps its partition;
+        say ``keys_move=True`` after a rebuild that may have changed that.
         """
         version = self.registry.resolve() if version is None else version
         if version is None:
@@ -152,7 +209,9 @@ class Warehouse:
             date,
             settings=self.settings,
         ).withColumn("event_date", F.to_date("event_ts"))
-        return upsert_into(self.predictions, written(batch, "batch"), ["transaction_id"])
+        return upsert_into(
+            self.predictions, written(batch, "batch"), ["transaction_id"], keys_move
+        )
 
     def monitor(self, date: str = "auto") -> dict:
         """Store the metrics of a scored day and return them with the drift band."""

@@ -60,6 +60,9 @@ class VersionedTable:
         rows = self.spark.read.parquet(f"{self.path}/_pointers/version={version}").collect()
         return {row["value"]: row["folder"] for row in rows}
 
+    def partitions(self) -> list[str]:
+        return sorted(self._pointers(self.latest()))
+
     def read(self, version: int | None = None, values: list[str] | None = None) -> DataFrame:
         """A version of the table, or only the given partitions of it."""
         pointers = self._pointers(self.latest() if version is None else version)
@@ -81,7 +84,8 @@ class VersionedTable:
         """Make ``df`` the whole content of the partitions ``values``; returns the version."""
         current = self.latest()
         folder = f"change={uuid.uuid4().hex[:12]}"
-        df.repartition(self.partition, *self._spread(df)).write.partitionBy(self.partition).parquet(
+        # rebalancing keeps small partitions whole and lets Spark split large ones
+        df.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(
             f"{self.path}/{folder}"
         )
         written = {
@@ -98,8 +102,3 @@ class VersionedTable:
             "errorifexists"
         ).parquet(f"{self.path}/_pointers/version={current + 1}")
         return current + 1
-
-    def _spread(self, df: DataFrame) -> list:
-        """Split each partition value over several files, so a big day is no single task."""
-        others = [c for c in df.columns if c != self.partition]
-        return [F.pmod(F.xxhash64(*others), F.lit(16))]

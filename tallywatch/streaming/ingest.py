@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallywatch.config import DEFAULTS, Settings
 from tallywatch.functions.rules import HARD_RULES, LATE_EVENT, SOFT_RULES, failed_names, fails, holds, passes
 from tallywatch.operators.contract import BRONZE_SCHEMA, CONTRACT, SILVER_COLUMNS, typed
+from tallywatch.operators.skew import join_small
 from tallywatch.session import child_names
 from tallywatch.sources.feed import stream_bronze, stream_feed
 
@@ -162,29 +163,51 @@ def watermark_before_run(
 def run_late(spark: SparkSession, layers: Layers, watermark: dt.datetime | None) -> StreamingQuery:
     """Keep valid rows that came too late for Silver, unless Silver has their id.
 
-    Run it after ``run_silver`` with the watermark read before that run.
+    Run it after ``run_silver`` with the watermark read before that run. Each
+    batch owns a folder, so a repeated batch replaces its own output.
     """
     rows = typed(stream_bronze(spark, layers.bronze)).where(passes(HARD_RULES))
-    if watermark is None:
-        late = rows.where(F.lit(False))
-    else:
-        known = read_silver(spark, layers).select("transaction_id")
-        late = rows.where(F.col("event_ts") <= F.lit(watermark)).join(
-            known, "transaction_id", "left_anti"
-        )
+    behind = F.lit(False) if watermark is None else F.col("event_ts") <= F.lit(watermark)
     columns = [f.name for f in BRONZE_SCHEMA]
-    kept = late.select(*columns).withColumn("_quarantine_reason", F.lit(LATE_EVENT))
-    return _run(kept, layers.late, layers.checkpoint("late"))
+    late = rows.where(behind).select(*columns).withColumn("_quarantine_reason", F.lit(LATE_EVENT))
+
+    def keep_unknown(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        # ids of the late rows that Silver holds: Silver is only scanned if they are few
+        known = join_small(
+            read_silver(spark, layers).select("transaction_id"),
+            batch.select("transaction_id").distinct(),
+            "transaction_id",
+        )
+        batch.join(known, "transaction_id", "left_anti").select(*late.columns).write.mode(
+            "overwrite"
+        ).parquet(f"{layers.late}/batch={batch_id}")
+
+    query = (
+        late.writeStream.foreachBatch(keep_unknown)
+        .trigger(availableNow=True)
+        .option("checkpointLocation", layers.checkpoint("late"))
+        .start()
+    )
+    query.awaitTermination()
+    return query
 
 
 def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
     return spark.read.schema(SILVER_SCHEMA).parquet(layers.silver)
 
 
+def read_late(spark: SparkSession, layers: Layers) -> DataFrame:
+    if not child_names(spark, layers.late):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(f"{layers.late}/batch=*")
+
+
 def read_quarantine(spark: SparkSession, layers: Layers) -> DataFrame:
     """Rejected and late rows together."""
     rejected = spark.read.schema(QUARANTINE_SCHEMA).parquet(layers.rejected)
-    return rejected.unionByName(spark.read.schema(QUARANTINE_SCHEMA).parquet(layers.late))
+    return rejected.unionByName(read_late(spark, layers))
 
 
 def observed_counts(query: StreamingQuery) -> dict[str, int]:
@@ -199,7 +222,7 @@ def observed_counts(query: StreamingQuery) -> dict[str, int]:
 
 
 def run_update(spark: SparkSession, layers: Layers, settings: Settings = DEFAULTS) -> dict[str, int]:
-    """Ingest what is new and carry it to Silver and quarantine; returns rule counts."""
+    """Ingest what is new and carry it to Silver and quarantine; returns counts per rule."""
     run_bronze(spark, layers)
     watermark = watermark_before_run(spark, layers, settings)
     silver = run_silver(spark, layers, settings)
