@@ -11,7 +11,7 @@ larger than the seconds of two days or a slice of one second.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallywatch.config import DAY_SECONDS, DEFAULTS, HOUR_SECONDS, Settings
@@ -61,23 +61,27 @@ def build_features(
     ``hot_customers`` may name the customers too large for one task if a profile
     table already has the counts; otherwise they are counted here.
     """
-    rows = txns.withColumns(
-        {"_sec": epoch_seconds(F.col("event_ts")), "_tie": tie_key(F.col("transaction_id"))}
-    )
     if hot_customers is None:
         hot_customers = written(heavy_keys(txns, "customer_id", settings), "hot-customers")
     if hot_customers.isEmpty():
-        history = _windowed(rows)
+        history = _windowed(_keyed(txns))
     else:
         hot = F.broadcast(hot_customers.select("customer_id"))
-        history = _windowed(rows.join(hot, "customer_id", "left_anti")).unionByName(
-            _decomposed(rows.join(hot, "customer_id", "left_semi"))
+        history = _windowed(_keyed(txns.join(hot, "customer_id", "left_anti"))).unionByName(
+            _decomposed(_keyed(txns.join(hot, "customer_id", "left_semi")))
         )
     return _derive(lookup(history, risk, "merchant_id", F.col("transaction_id"), settings), settings).select(
         *txns.columns, *[c for c in FEATURE_COLS if c not in txns.columns]
     )
 
 
+def _keyed(txns: DataFrame) -> DataFrame:
+    """Add the order of history: whole seconds, then the tie key."""
+    return txns.withColumns(
+        {"_sec": epoch_seconds(F.col("event_ts")), "_tie": tie_key(F.col("transaction_id"))}
+    )
+
+
 def _windowed(rows: DataFrame) -> DataFrame:
     """History by windows over whole customers: one shuffle serves all of them."""
     customer = Window.partitionBy("customer_id")
@@ -99,8 +103,8 @@ def _windowed(rows: DataFrame) -> DataFrame:
         )
         .withColumns(
             {
-                "_n_1h": F.count("*").over(by_second.rangeBetween(-HOUR_SECONDS, -1)),
-                "_n_24h": F.count("*").over(by_second.rangeBetween(-DAY_SECONDS, -1)),
+                "_n_1h": _within(F.count("*"), by_second, HOUR_SECONDS),
+                "_n_24h": _within(F.count("*"), by_second, DAY_SECONDS),
             }
         )
     )
@@ -195,8 +199,8 @@ def _second_history(seconds: DataFrame) -> DataFrame:
         "_day",
         "_own",
         "first_tie",
-        F.coalesce(F.sum("rows").over(day.rangeBetween(-HOUR_SECONDS, -1)), F.lit(0)).alias("_n_1h"),
-        F.coalesce(F.sum("rows").over(day.rangeBetween(-DAY_SECONDS, -1)), F.lit(0)).alias("_n_24h"),
+        _within(F.sum("rows"), day, HOUR_SECONDS).alias("_n_1h"),
+        _within(F.sum("rows"), day, DAY_SECONDS).alias("_n_24h"),
         _sum_if(F.col("_own"), "n", before, 0).alias("day_n"),
         _sum_if(F.col("_own"), "total", before, 0.0).alias("day_total"),
         F.lag("_sec").over(day).alias("day_prev"),
@@ -228,7 +232,18 @@ def _second_history(seconds: DataFrame) -> DataFrame:
     )
 
 
-def _sum_if(condition: Column, value: str, window, empty) -> Column:
+def _within(total: Column, by_second: WindowSpec, seconds: int) -> Column:
+    """A total over the ``seconds`` before the current one, as a difference of running totals.
+
+    Spark adds up a sliding frame anew for every row; running totals cost the
+    same per row however long the frame.
+    """
+    until_now = total.over(by_second.rangeBetween(Window.unboundedPreceding, -1))
+    before = total.over(by_second.rangeBetween(Window.unboundedPreceding, -seconds - 1))
+    return F.coalesce(until_now, F.lit(0)) - F.coalesce(before, F.lit(0))
+
+
+def _sum_if(condition: Column, value: str, window: WindowSpec, empty) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col(value))).over(window), F.lit(empty))
 
 
