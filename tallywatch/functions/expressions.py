@@ -26,9 +26,15 @@ def epoch_seconds(ts: Column) -> Column:
 def tie_key(transaction_id: Column) -> Column:
     """Order of rows inside one second.
 
-    A hash, so that any prefix of it splits a crowded second evenly and in order.
+    The first 60 bits of a hash, so that its leading bits split a crowded second
+    evenly and in order.
     """
-    return F.substring(F.md5(transaction_id), 1, 16)
+    return F.conv(F.substring(F.md5(transaction_id), 1, 15), 16, 10).cast("long")
+
+
+def tie_slice(tie: Column, bits: int) -> Column:
+    """The leading bits of a tie key."""
+    return F.shiftright(tie, 60 - bits)
 
 
 def all_of(conditions: list[Column]) -> Column:

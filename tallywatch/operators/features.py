@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallywatch.config import DAY_SECONDS, DEFAULTS, HOUR_SECONDS, Settings
-from tallywatch.functions.expressions import epoch_seconds, ratio, tie_key
+from tallywatch.functions.expressions import epoch_seconds, ratio, tie_key, tie_slice
 from tallywatch.operators.gold import NIGHT_END_HOUR
 from tallywatch.operators.skew import heavy_keys, lookup
 from tallywatch.session import written
@@ -36,7 +36,7 @@ FEATURE_COLS = [
     "merchant_fraud_rate",
 ]
 
-TIE_SLICE = 3  # hex digits of the tie key: 4096 slices of a crowded second
+SLICE_BITS = 12  # 4096 slices of a crowded second
 
 
 def merchant_risk(train: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -111,14 +111,18 @@ def _windowed(rows: DataFrame) -> DataFrame:
 
 
 def _decomposed(rows: DataFrame) -> DataFrame:
-    """The same history from sums per second, day and slice of a second."""
-    rows = rows.withColumn("_slice", F.substring("_tie", 1, TIE_SLICE))
+    """The same history from sums per second, day and slice of a second.
+
+    The sums feed several branches, so they are stored.
+    """
+    rows = rows.withColumn("_slice", tie_slice(F.col("_tie"), SLICE_BITS))
     slices = rows.groupBy("customer_id", "_sec", "_slice").agg(
         F.count("*").alias("rows"),
         F.count("amount").alias("n"),
         F.sum("amount").alias("total"),
         F.min("_tie").alias("first_tie"),
     )
+    slices = written(slices, "slices")
     seconds = (
         slices.groupBy("customer_id", "_sec")
         .agg(
@@ -129,6 +133,7 @@ def _decomposed(rows: DataFrame) -> DataFrame:
         )
         .withColumn("_day", F.floor(F.col("_sec") / DAY_SECONDS))
     )
+    seconds = written(seconds, "seconds")
     in_second = (
         Window.partitionBy("customer_id", "_sec")
         .orderBy("_slice")

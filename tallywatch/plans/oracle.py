@@ -126,7 +126,7 @@ _TRAIN_RISK = _risk("silver", "CAST(event_ts AS DATE) <= (SELECT split_date FROM
 def _features(source: str) -> str:
     return f"""
 ordered AS (
-  SELECT *, epoch_us(event_ts) // 1000000 AS sec, substr(md5(transaction_id), 1, 16) AS tie FROM {source}
+  SELECT *, epoch_us(event_ts) // 1000000 AS sec, substr(md5(transaction_id), 1, 15) AS tie FROM {source}
 ),
 feat AS (
   SELECT o.transaction_id, o.event_ts, o.customer_id, o.amount, ln(1 + o.amount) AS log_amount,
