@@ -19,15 +19,21 @@ PREDICTIONS_DDL = (
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def resolve_date(rows: DataFrame, date: str = "auto") -> dt.date:
-    """An explicit date, or the latest date in ``rows``.
+def latest_date(rows: DataFrame) -> dt.date | None:
+    """The latest event date, from the date partition if there is one.
 
-    The date comes back as a value, not a subquery, so that filters built on it
-    reach the scan and prune partitions.
+    It comes back as a value, not a subquery, so that filters built on it reach
+    the scan and prune partitions.
     """
+    column = "event_date" if "event_date" in rows.columns else "event_ts"
+    return rows.select(F.to_date(F.max(column))).first()[0]
+
+
+def resolve_date(rows: DataFrame, date: str = "auto") -> dt.date:
+    """An explicit date, or the latest date in ``rows``."""
     if date != "auto":
         return dt.date.fromisoformat(date)
-    latest = rows.select(F.to_date(F.max("event_ts"))).first()[0]
+    latest = latest_date(rows)
     if latest is None:
         raise ValueError("no transactions to take the latest date from")
     return latest

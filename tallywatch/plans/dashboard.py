@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS, Settings
 from tallywatch.functions.expressions import ratio, stable_round
+from tallywatch.operators.scoring import latest_date, on_date
 from tallywatch.operators.skew import join_small
 
 
@@ -23,13 +24,14 @@ def headline(daily: DataFrame) -> DataFrame:
     return latest.select("txn_count", "fraud_count", "fraud_amount", "active_customers")
 
 
-def _latest_date(preds: DataFrame) -> Column:
-    return preds.select(F.to_date(F.max("event_ts"))).scalar()
+def _on_latest_date(preds: DataFrame) -> DataFrame:
+    latest = latest_date(preds)
+    return preds.limit(0) if latest is None else on_date(preds, latest)
 
 
 def review_queue(preds: DataFrame, silver: DataFrame) -> DataFrame:
     """Alerts of the latest date, best score first."""
-    alerts = preds.where((F.col("is_alert") == 1) & (F.to_date("event_ts") == _latest_date(preds)))
+    alerts = _on_latest_date(preds).where("is_alert = 1")
     details = silver.select("transaction_id", "merchant_id", "merchant_category", "country", "channel")
     return (
         join_small(details, alerts, "transaction_id")
@@ -128,7 +130,7 @@ def score_distribution(preds: DataFrame) -> DataFrame:
     """Rows per tenth of the score on the latest date; a score of 1 has its own bucket."""
     bucket = F.round(F.floor(F.col("fraud_score") * 10) / 10, 1)
     return (
-        preds.where(F.to_date("event_ts") == _latest_date(preds))
+        _on_latest_date(preds)
         .groupBy(bucket.alias("score_bucket"))
         .agg(F.count("*").alias("txns"))
         .orderBy("score_bucket")

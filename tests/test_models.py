@@ -12,6 +12,7 @@ from tallywatch.config import DEFAULTS
 from tallywatch.functions.expressions import bin_edges, bin_index, stable_round
 from tallywatch.operators import evaluate, gold, monitoring, scoring
 from tallywatch.operators.upsert import require_unique, upsert, upsert_into
+from tallywatch.plans import dashboard
 from tallywatch.session import new_folder
 from tallywatch.sources import tables
 
@@ -188,6 +189,32 @@ def test_stored_upsert_moves_keys_and_keeps_versions(spark):
         table.replace(frame([("z", 1, "2030-01-01")]), ["2024-01-01"])
 
 
+def test_large_partitions_are_split_when_written(spark):
+    frame = spark.createDataFrame([("a", 1)], "k string, v int").hint("rebalance", "k")
+    assert "REBALANCE" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_on_empty_predictions(spark):
+    preds = spark.createDataFrame([], scoring.PREDICTIONS_DDL)
+    assert dashboard.score_distribution(preds).isEmpty()
+
+
+def test_latest_date_prunes_partitions(spark):
+    table = tables.VersionedTable(spark, new_folder(spark, "preds"), f"{PREDS}, event_date date", "event_date")
+    stamps = spark.range(3).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.timestamp_seconds(F.col("id") * 86400).alias("event_ts"),
+        F.lit(1).alias("is_alert"),
+        F.lit(0.9).alias("fraud_score"),
+        F.lit(1).alias("model_version"),
+    )
+    upsert_into(table, stamps.withColumn("event_date", F.to_date("event_ts")), ["transaction_id"])
+    report = dashboard.score_distribution(table.read())
+    assert [tuple(r) for r in report.collect()] == [(0.9, 1)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
 def test_catalog_tables(spark):
     tables.create_schema(spark, "cards")
     tables.create_table(spark, "cards.preds", "k string, v int", "scores")
