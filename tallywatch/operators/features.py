@@ -70,7 +70,10 @@ def build_features(
         history = _windowed(_keyed(txns.join(hot, "customer_id", "left_anti"))).unionByName(
             _decomposed(_keyed(txns.join(hot, "customer_id", "left_semi")))
         )
-    return _derive(lookup(history, risk, "merchant_id", F.col("transaction_id"), settings), settings).select(
+    rated = lookup(
+        history, risk, "merchant_id", F.col("transaction_id"), settings, count_on=txns
+    )
+    return _derive(rated, settings).select(
         *txns.columns, *[c for c in FEATURE_COLS if c not in txns.columns]
     )
 

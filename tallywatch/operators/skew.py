@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS, Settings
+from tallywatch.session import written
 
 
 def heavy_keys(df: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
@@ -45,18 +46,23 @@ def lookup(
     key: str,
     spread_by: Column,
     settings: Settings = DEFAULTS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of facts with a table that has one row per key.
 
     A dimension small enough, by count, is broadcast. Otherwise both sides are
     shuffled; rows of heavy keys, and rows without a key, are spread over
     ``salt_fanout`` partitions, and only the heavy dimension rows are copied.
+    Heavy keys are counted on ``count_on`` if given: a table with the keys of
+    ``facts`` that is cheaper to read.
     """
     if fits_broadcast(dimension.select(key), settings):
         return facts.join(F.broadcast(dimension), key, "left")
 
     fanout = settings.salt_fanout
-    heavy = F.broadcast(heavy_keys(facts, key, settings).withColumn("_heavy", F.lit(True)))
+    counted = facts if count_on is None else count_on
+    keys = written(heavy_keys(counted, key, settings), "heavy-keys")
+    heavy = F.broadcast(keys.withColumn("_heavy", F.lit(True)))
     salt = F.pmod(F.xxhash64(spread_by), F.lit(fanout)).cast("int")
     salted_facts = facts.join(heavy, key, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(0)
