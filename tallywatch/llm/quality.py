@@ -39,8 +39,6 @@ BUCKETS = 1 << 14
 TARGET_DOCS = 20_000
 LEVEL_DOCS = 20_000
 SMOOTHING = 1.0
-#: Ratios within so many standard errors of 0 count as 0, else they add up over a long text.
-NOISE = 3.0
 TOKEN = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+")
 REPEAT = 0
 PIECE = 1 << 16
@@ -151,7 +149,6 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     raw = bucket_counts(named) + SMOOTHING
     good = bucket_counts(sample.filter("turn % 2 = 0")) + SMOOTHING
     ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
-    ratio[np.abs(ratio) < NOISE * np.sqrt(1 / good + 1 / raw)] = 0
     keyed = sample.filter("turn % 2 = 1").withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     scores = [tuple(r) for r in weighed(keyed, ratio).select("log_weight", "label").collect()]
     if len({label for _, label in scores}) < 2 or good.sum() <= BUCKETS * SMOOTHING:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, mixing, quality, simhash, substrings
+from tallywatch.llm import decontaminate, mixing, quality, simhash, substrings, topk, toxicity
 from tallywatch.llm.common import table
 
 
@@ -23,11 +23,19 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,8 +45,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_mixing": op3_mixing,
     "op4_substrings": op4_substrings,
+    "op5_topk": op5_topk,
     "op7_decontaminate": op7_decontaminate,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op5_topk": topk.ORACLE, "op7_decontaminate": decontaminate.ORACLE}

@@ -145,18 +145,11 @@ def _combinations(n: int, k: int) -> int:
     return (1, n, n * (n - 1) // 2)[k]
 
 
-def flips(bits: list[int], most: int) -> list[int]:
-    """Masks of up to two of the bits, as signed longs."""
-    masks = [0]
-    if most >= 1:
-        masks += [1 << b for b in bits]
-    if most >= 2:
-        masks += [1 << a | 1 << b for i, a in enumerate(bits) for b in bits[:i]]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
-
-
 def _masks(bits: list[int], most: int) -> Column:
-    return F.array(*(F.lit(m).cast("long") for m in flips(bits, most)))
+    """Masks of none, one, or up to two of the bits, in this order."""
+    one = f"array({', '.join(f'shiftleft(1L, {b})' for b in bits)})"
+    two = f"flatten(transform({one}, (x, i) -> transform(slice({one}, 1, i), y -> x | y)))"
+    return F.expr(f"concat({', '.join(['array(0L)', one, two][: most + 1])})")
 
 
 def _mask(bits: list[int]) -> int:
