@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, mixing, quality, simhash, substrings, topk, toxicity
+from tallywatch.llm import decontaminate, mixing, pages, ppm, quality, simhash, substrings, topk, toxicity
 from tallywatch.llm.common import table
 
 
@@ -27,11 +27,19 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_id")
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,7 +54,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_substrings": op4_substrings,
     "op5_topk": op5_topk,
+    "op6_ppm": op6_ppm,
     "op7_decontaminate": op7_decontaminate,
+    "op8_pages": op8_pages,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
