@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, mixing, pages, ppm, quality, simhash, substrings, topk, toxicity
+from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, simhash, substrings, topk, toxicity
 from tallywatch.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -51,6 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
     "op4_substrings": op4_substrings,
     "op5_topk": op5_topk,
