@@ -18,12 +18,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary one.
+    Only a local master may leave it unset and gets a temporary one: executors on
+    other machines would each write to their own disk.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if not named and not current:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tallywatch-")
     if not current:
         context.setCheckpointDir(named)
