@@ -178,7 +178,8 @@ def links(values: DataFrame) -> DataFrame:
             F.explode(F.transform(_masks(bits, threshold), lambda m: F.col("fp").bitwiseXOR(m).bitwiseAND(F.lit(_mask(bits)).cast("long")))).alias("bucket"),
         )
         close = F.bit_count(F.col("fp").bitwiseXOR(F.col("probe"))) <= DISTANCE
-        pairs = probes.join(own, "bucket").filter((F.col("fp") < F.col("probe")) & close).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
+        # Rows that an array is spread to are not in the planner's estimate, so it must not broadcast them.
+        pairs = probes.hint("merge").join(own, "bucket").filter((F.col("fp") < F.col("probe")) & close).select(F.col("fp").alias("a"), F.col("probe").alias("b"))
         found = pairs if found is None else found.unionByName(pairs)
     return found.unionByName(crowd_links(values, stored, crowds, chosen)).distinct()
 
@@ -195,7 +196,7 @@ def crowd_links(values: DataFrame, stored: DataFrame, crowds: DataFrame, chosen:
             F.lit(k).alias("part"),
             F.explode(F.transform(_masks(bits, threshold), lambda m: F.col("fp").bitwiseXOR(m).bitwiseAND(F.lit(_mask(bits)).cast("long")))).alias("bucket"),
         )
-        near = near.join(crowds, ["part", "bucket"], "left_semi").select("fp")
+        near = near.hint("merge").join(crowds, ["part", "bucket"], "left_semi").select("fp")
         reaching = near if reaching is None else reaching.unionByName(near)
     members = written(reaching.distinct(), "simhash-members")
     everything = list(range(BITS))
@@ -204,7 +205,7 @@ def crowd_links(values: DataFrame, stored: DataFrame, crowds: DataFrame, chosen:
     ).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("value"), (F.col("nth") <= BITS).alias("near"))
     stars = between.groupBy("value").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("centre"), F.count("*").alias("n")).filter("centre is not null and n > 1")
     return (
-        between.join(stars, "value")
+        between.hint("merge").join(stars, "value")
         .filter("fp != centre")
         .select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b"))
     )
