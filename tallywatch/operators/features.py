@@ -66,7 +66,7 @@ def build_features(
     if hot_customers.isEmpty():
         history = _windowed(_keyed(txns))
     else:
-        hot = F.broadcast(hot_customers.select("customer_id"))
+        hot = hot_customers.select("customer_id")
         history = _windowed(_keyed(txns.join(hot, "customer_id", "left_anti"))).unionByName(
             _decomposed(_keyed(txns.join(hot, "customer_id", "left_semi")))
         )
@@ -88,10 +88,10 @@ def _keyed(txns: DataFrame) -> DataFrame:
 def _windowed(rows: DataFrame) -> DataFrame:
     """History by windows over whole customers: one shuffle serves all of them."""
     customer = Window.partitionBy("customer_id")
-    in_order = customer.orderBy("_sec", "_tie")
+    in_order = customer.orderBy("_sec", "_tie", "transaction_id")
     by_second = customer.orderBy("_sec")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    device = Window.partitionBy("customer_id", "device_id").orderBy("_sec", "_tie")
+    device = Window.partitionBy("customer_id", "device_id").orderBy("_sec", "_tie", "transaction_id")
     return (
         rows.withColumn("_new_device", F.row_number().over(device) == 1)
         .withColumns(
@@ -118,7 +118,8 @@ def _decomposed(rows: DataFrame) -> DataFrame:
 
     The sums feed several branches, so they are stored.
     """
-    rows = rows.withColumn("_slice", tie_slice(F.col("_tie"), SLICE_BITS))
+    device = F.coalesce(F.concat(F.lit("+"), "device_id"), F.lit("-"))
+    rows = rows.withColumns({"_slice": tie_slice(F.col("_tie"), SLICE_BITS), "_device": device})
     slices = rows.groupBy("customer_id", "_sec", "_slice").agg(
         F.count("*").alias("rows"),
         F.count("amount").alias("n"),
@@ -152,32 +153,32 @@ def _decomposed(rows: DataFrame) -> DataFrame:
 
     in_slice = (
         Window.partitionBy("customer_id", "_sec", "_slice")
-        .orderBy("_tie")
+        .orderBy("_tie", "transaction_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     first_rows = rows.groupBy("customer_id").agg(
         F.min_by("country", F.struct("_sec", "_tie")).alias("_home")
     )
-    first_uses = rows.groupBy("customer_id", "device_id").agg(
-        F.min(F.struct("_sec", "_tie", "transaction_id")).alias("first")
-    )
-    first_ids = first_uses.select(
-        F.col("first.transaction_id").alias("transaction_id"), F.lit(True).alias("_first_use")
+    first_uses = rows.groupBy("customer_id", "_device").agg(
+        F.min(F.struct("_sec", "_tie", "transaction_id")).alias("_first")
     )
+    # an id seen twice in one second marks one of its rows
+    same_id = Window.partitionBy("customer_id", "_device", "_sec", "_tie", "transaction_id").orderBy("_sec")
     return (
         rows.withColumns(
             {
+                "_nth": F.row_number().over(same_id),
                 "_own_n": F.count("amount").over(in_slice),
                 "_own_total": F.coalesce(F.sum("amount").over(in_slice), F.lit(0.0)),
             }
         )
         .join(placed, ["customer_id", "_sec", "_slice"])
-        # one row per hot customer: no longer than the list of hot customers
-        .join(F.broadcast(first_rows), "customer_id")
-        .join(first_ids, "transaction_id", "left")
+        .join(first_rows, "customer_id")
+        .join(first_uses, ["customer_id", "_device"])
         .withColumns(
             {
-                "_new_device": F.coalesce("_first_use", F.lit(False)),
+                "_new_device": (F.col("_nth") == 1)
+                & F.struct("_sec", "_tie", "transaction_id").eqNullSafe(F.col("_first")),
                 "_prior_n": F.col("second_n") + F.col("slice_n") + F.col("_own_n"),
                 "_prior_amount": F.col("second_total") + F.col("slice_total") + F.col("_own_total"),
                 "_prev_sec": F.when(F.col("_tie") > F.col("first_tie"), F.col("_sec")).otherwise(
@@ -185,7 +186,7 @@ def _decomposed(rows: DataFrame) -> DataFrame:
                 ),
             }
         )
-        .drop("_slice", "_own_n", "_own_total", "_first_use", "first_tie", "prev_sec")
+        .drop("_slice", "_device", "_own_n", "_own_total", "_first", "_nth", "first_tie", "prev_sec")
         .drop("slice_n", "slice_total", "second_n", "second_total")
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.functions.expressions import ratio, stable_round
@@ -48,7 +48,8 @@ def customer_profiles(silver: DataFrame) -> DataFrame:
 
     Two exact distinct counts in one aggregate would triple the input. Reducing
     to (customer, country, device) first does the heavy shuffle once, on partial
-    sums; the spread is merged from group means and group variances.
+    sums; the spread is merged from group variances and the groups' distances from
+    the customer's mean, so large amounts with a small spread keep their digits.
     """
     night = F.hour("event_ts") < NIGHT_END_HOUR
     footprint = silver.groupBy("customer_id", "country", "device_id").agg(
@@ -61,12 +62,12 @@ def customer_profiles(silver: DataFrame) -> DataFrame:
         F.count("event_ts").alias("timed"),
         F.max("event_ts").alias("last_seen_ts"),
     )
-    within = F.sum(F.col("priced") * F.col("variance"))
-    between = F.sum(F.col("priced") * F.col("mean") * F.col("mean")) - ratio(
-        F.sum("amount") * F.sum("amount"), F.sum("priced")
-    )
-    spread = F.greatest(within + between, F.lit(0.0))
-    return footprint.groupBy("customer_id").agg(
+    # one row per country and device, partitioned as the aggregate below needs it
+    customer = Window.partitionBy("customer_id")
+    centre = ratio(F.sum(F.col("mean") * F.col("priced")).over(customer), F.sum("priced").over(customer))
+    off = F.col("mean") - F.col("centre")
+    spread = F.sum(F.col("priced") * (F.col("variance") + off * off))
+    return footprint.withColumn("centre", centre).groupBy("customer_id").agg(
         F.sum("n").alias("txn_count"),
         stable_round(ratio(F.sum("amount"), F.sum("priced")), 2).alias("avg_amount"),
         stable_round(F.sqrt(ratio(spread, F.sum("priced") - 1)), 2).alias("std_amount"),

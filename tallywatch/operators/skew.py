@@ -12,17 +12,13 @@ from tallywatch.session import written
 def heavy_keys(df: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Keys with more rows than one task should hold.
 
-    At most ``max_hot_groups`` keys come back, the largest first, so the list can
-    be broadcast. A key left out has at most ``hot_group_rows`` rows, or at most
-    1/``max_hot_groups`` of all rows.
+    Every such key comes back; how the list is joined is left to its size.
     """
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > settings.hot_group_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(settings.max_hot_groups)
         .select(key)
     )
 
@@ -62,7 +58,7 @@ def lookup(
     fanout = settings.salt_fanout
     counted = facts if count_on is None else count_on
     keys = written(heavy_keys(counted, key, settings), "heavy-keys")
-    heavy = F.broadcast(keys.withColumn("_heavy", F.lit(True)))
+    heavy = keys.withColumn("_heavy", F.lit(True))
     salt = F.pmod(F.xxhash64(spread_by), F.lit(fanout)).cast("int")
     salted_facts = facts.join(heavy, key, "left").withColumn(
         "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(0)

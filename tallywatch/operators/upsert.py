@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.sources.tables import VersionedTable
+from tallywatch.sources.tables import VersionedTable, partition_value
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -19,7 +19,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
 def require_unique(batch: DataFrame, keys: list[str]) -> None:
     """Refuse a batch that would update one row twice."""
-    repeated = batch.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
+    named = batch.dropna(subset=keys)  # a null key equals no other
+    repeated = named.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
     if repeated:
         raise ValueError(f"batch has several rows for {[repeated[0][k] for k in keys]} of {keys}")
 
@@ -40,9 +41,5 @@ def upsert_into(
         hit = table.read().select(*keys, part).join(batch.select(*keys), keys, "left_semi")
         touched = touched.union(hit.select(part)).distinct()
     # one value per partition folder
-    values = [_folder_value(row[0]) for row in touched.collect()]
+    values = [partition_value(row[0]) for row in touched.collect()]
     return table.replace(upsert(table.read(values=values), batch, keys), values)
-
-
-def _folder_value(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

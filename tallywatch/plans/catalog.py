@@ -315,15 +315,6 @@ def upsert_predictions(spark, sf_dir):
     return _stored_predictions(spark, sf_dir).read().drop("event_date")
 
 
-def version_count(spark, sf_dir):
-    table = _stored_predictions(spark, sf_dir)
-    counts = [
-        table.read(version).agg(F.lit(version).alias("version"), F.count("*").alias("row_count"))
-        for version in (1, 2)
-    ]
-    return counts[0].unionByName(counts[1])
-
-
 # ---- monitoring ------------------------------------------------------------
 
 
@@ -519,7 +510,6 @@ QUERIES: dict[str, Query] = {
     "batch_score_backfill": batch_score_backfill,
     "batch_score_budget": batch_score_budget,
     "upsert_predictions": upsert_predictions,
-    "version_count": version_count,
     "upsert_rows": upsert_rows,
     "score_baseline_hist": score_baseline_hist,
     "monitoring_psi": monitoring_psi,

@@ -170,11 +170,15 @@ def fraud_amount_by_month(facts: DataFrame, dates: DataFrame, merchants: DataFra
 
 
 def star_schema(silver: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fact, date and merchant tables of the star over the clean table."""
+    """Fact, date and merchant tables of the star over the clean table.
+
+    A merchant has one row, with the category of its latest transaction. Facts
+    without a merchant meet no row of it, as in any inner join.
+    """
     date_key = F.date_format("event_ts", "yyyyMMdd").cast("int").alias("date_key")
     facts = silver.select(date_key, F.col("merchant_id").alias("merchant_key"), "amount", "is_fraud")
     dates = silver.select(date_key, F.date_format("event_ts", "yyyy-MM").alias("month")).distinct()
-    merchants = silver.select(
-        F.col("merchant_id").alias("merchant_key"), F.col("merchant_category").alias("category")
-    ).distinct()
+    merchants = silver.groupBy(F.col("merchant_id").alias("merchant_key")).agg(
+        F.max_by("merchant_category", F.struct("event_ts", "merchant_category")).alias("category")
+    )
     return facts, dates, merchants

@@ -406,13 +406,6 @@ ORACLE: dict[str, str] = {
         """SELECT * FROM first_load WHERE transaction_id NOT IN (SELECT transaction_id FROM second_load)
            UNION ALL SELECT * FROM second_load""",
     ),
-    "version_count": _sql(
-        [*_CLEAN, *_STORED],
-        """SELECT 1 AS version, count(*) AS row_count FROM first_load
-           UNION ALL
-           SELECT 2, count(*) FROM (SELECT transaction_id FROM first_load
-             UNION SELECT transaction_id FROM second_load)""",
-    ),
     "upsert_rows": _sql(
         [_ORDERS],
         """SELECT transaction_id, event_ts, -amount AS amount FROM purchases WHERE is_fraud = 1

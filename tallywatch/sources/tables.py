@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,18 @@ def overwrite_table(df: DataFrame, name: str, comment: str = "", quality: str =
         df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{quality}')")
 
 
+def partition_value(value) -> str:
+    """Name of a partition: the value as text, before the folder name escapes it."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     """A parquet table that is replaced partition by partition.
 
     A change writes the new partitions to a folder of their own, then a small
     pointer file that names the folder of every partition. Readers follow one
-    pointer file, so they see a whole version; earlier versions stay readable.
+    pointer file, so they see a whole version.
     One writer at a time.
     """
 
@@ -63,14 +69,14 @@ class VersionedTable:
     def partitions(self) -> list[str]:
         return sorted(self._pointers(self.latest()))
 
-    def read(self, version: int | None = None, values: list[str] | None = None) -> DataFrame:
-        """A version of the table, or only the given partitions of it."""
-        pointers = self._pointers(self.latest() if version is None else version)
+    def read(self, values: list[str] | None = None) -> DataFrame:
+        """The table, or only the given partitions of it."""
+        pointers = self._pointers(self.latest())
         wanted = pointers if values is None else {v: pointers[v] for v in values if v in pointers}
         empty = self.spark.createDataFrame([], self.ddl)
         if not wanted:
             return empty
-        folders = [f"{self.path}/{f}/{self.partition}={v}" for v, f in sorted(wanted.items())]
+        folders = [f"{self.path}/{folder}" for _, folder in sorted(wanted.items())]
         kind = empty.schema[self.partition].dataType
         return (
             self.spark.read.schema(empty.schema)
@@ -89,14 +95,14 @@ class VersionedTable:
             f"{self.path}/{folder}"
         )
         written = {
-            name.split("=", 1)[1]
+            unquote(name.split("=", 1)[1]): f"{folder}/{name}"
             for name in child_names(self.spark, f"{self.path}/{folder}")
             if name.startswith(f"{self.partition}=")
         }
-        if not written <= set(values):
-            raise ValueError(f"rows outside the replaced partitions: {sorted(written - set(values))[:5]}")
+        if not set(written) <= set(values):
+            raise ValueError(f"rows outside the replaced partitions: {sorted(set(written) - set(values))[:5]}")
         pointers = {v: f for v, f in self._pointers(current).items() if v not in values}
-        pointers.update({v: folder for v in written})
+        pointers.update(written)
         rows = [(value, target) for value, target in sorted(pointers.items())]
         self.spark.createDataFrame(rows, "value string, folder string").coalesce(1).write.mode(
             "errorifexists"

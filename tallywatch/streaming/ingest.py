@@ -29,10 +29,11 @@ class Layers:
     """Folders of one set of tables."""
 
     root: str
+    feed_folder: str | None = None
 
     @property
     def feed(self) -> str:
-        return f"{self.root}/feed"
+        return self.feed_folder or f"{self.root}/feed"
 
     @property
     def bronze(self) -> str:
@@ -133,37 +134,23 @@ def run_quarantine(spark: SparkSession, layers: Layers) -> StreamingQuery:
     return _run(rejected, layers.rejected, layers.checkpoint("quarantine"))
 
 
-def watermark_before_run(
-    spark: SparkSession, layers: Layers, settings: Settings = DEFAULTS
-) -> dt.datetime | None:
-    """The watermark the next Silver run starts from: newest clean event less the delay.
+def watermark_of(run: StreamingQuery) -> dt.datetime | None:
+    """The watermark that a finished Silver run applied to its rows; None if it had none yet.
 
-    The newest event is in the newest date partition, so only that one is read.
+    It is what Spark committed: all valid rows move it, duplicates included.
     """
-    dates = [
-        name.split("=")[1]
-        for name in child_names(spark, layers.silver)
-        if name.startswith("event_date=")
-    ]
-    if not dates:
-        return None
-    newest = dt.date.fromisoformat(max(dates))
-    row = (
-        read_silver(spark, layers)
-        .where(F.col("event_date") == F.lit(newest))
-        .select(
-            F.expr("timestamp_millis(unix_millis(max(event_ts)))").alias("newest"),
-        )
-        .select((F.col("newest") - F.make_dt_interval(days=F.lit(settings.watermark_days))).alias("w"))
-        .first()
-    )
-    return row["w"]
+    for progress in run.recentProgress:
+        value = progress.eventTime.get("watermark") if progress.numInputRows > 0 else None
+        if value is not None:
+            moment = dt.datetime.fromisoformat(value.replace("Z", "+00:00"))
+            return moment if moment.timestamp() > 0 else None
+    return None
 
 
 def run_late(spark: SparkSession, layers: Layers, watermark: dt.datetime | None) -> StreamingQuery:
     """Keep valid rows that came too late for Silver, unless Silver has their id.
 
-    Run it after ``run_silver`` with the watermark read before that run. Each
+    Run it after ``run_silver`` with the watermark of that run. Each
     batch owns a folder, so a repeated batch replaces its own output.
     """
     rows = typed(stream_bronze(spark, layers.bronze)).where(passes(HARD_RULES))
@@ -224,8 +211,7 @@ def observed_counts(query: StreamingQuery) -> dict[str, int]:
 def run_update(spark: SparkSession, layers: Layers, settings: Settings = DEFAULTS) -> dict[str, int]:
     """Ingest what is new and carry it to Silver and quarantine; returns counts per rule."""
     run_bronze(spark, layers)
-    watermark = watermark_before_run(spark, layers, settings)
     silver = run_silver(spark, layers, settings)
     run_quarantine(spark, layers)
-    run_late(spark, layers, watermark)
+    run_late(spark, layers, watermark_of(silver))
     return observed_counts(silver)

@@ -46,6 +46,8 @@ def test_daily_aggregate_refreshed_in_part_equals_full_one(warehouse):
     kept, full = warehouse.daily.read(), fresh.daily.read()
     assert kept.count() == full.count() == 30
     assert kept.exceptAll(full).isEmpty() and full.exceptAll(kept).isEmpty()
+    before = fresh.silver().count()
+    assert fresh.update() == {} and fresh.silver().count() == before == warehouse.silver().count()
 
 
 def test_train_score_monitor_and_roll_back(warehouse):
