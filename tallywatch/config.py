@@ -30,8 +30,7 @@ class Settings:
     # Physical limits: results do not depend on these.
     hot_group_rows: int = 1_000_000
     max_broadcast_rows: int = 500_000
-    salt_fanout: int = 64
-    score_buckets: int = 512
+    bucket_rows: int = 100_000
 
 
 DEFAULTS = Settings()

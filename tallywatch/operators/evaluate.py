@@ -7,7 +7,6 @@ evaluated in one pass over the same rows.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,20 +23,21 @@ def class_weights(rows: DataFrame) -> DataFrame:
 
 
 def _score_buckets(counts: DataFrame, settings: Settings) -> DataFrame:
-    """Add a bucket of neighbouring scores, each a small share of the distinct scores."""
-    buckets = settings.score_buckets
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counts.approxQuantile("fraud_score", steps, 0.5 / buckets))) or [0.0]
-    splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol="fraud_score", outputCol="bucket").transform(counts)
+    """Add ``bucket``, which rises as a model's scores fall; a bucket holds about ``bucket_rows`` scores.
+
+    The rows are dealt by range and stored, so every reader sees the same buckets.
+    """
+    buckets = 1 + counts.count() // settings.bucket_rows
+    dealt = counts.repartitionByRange(buckets, "model", F.desc("fraud_score"))
+    return written(dealt.withColumn("bucket", F.spark_partition_id()), "score-buckets")
 
 
 def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """True and false positives at every distinct score, per model.
 
     A running total over all scores would need one task. Scores are counted,
-    cut into buckets at their quantiles, and summed inside each bucket; the
-    totals of the buckets above, a few hundred rows, are added to that.
+    dealt by range to as many buckets as their number asks for, and summed inside
+    each bucket; the totals of the buckets above, a row each, are added to that.
     """
     counts = written(
         scored.where(F.col("fraud_score").isNotNull())
@@ -50,7 +50,7 @@ def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     )
     counts = _score_buckets(counts, settings)
     model = Window.partitionBy("model")
-    above = model.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    above = model.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.groupBy("model", "bucket").agg(
         F.sum("pos").alias("bucket_pos"), F.sum("neg").alias("bucket_neg")
     ).select(
@@ -66,14 +66,15 @@ def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFra
         .orderBy(F.desc("fraud_score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # offsets: at most score_buckets + 1 rows per model
-    return counts.join(F.broadcast(offsets), ["model", "bucket"]).select(
+    summed = counts.select("*", F.sum("pos").over(inside).alias("pos_inside"), F.sum("neg").over(inside).alias("neg_inside"))
+    # the window has dealt the rows by the columns of this join
+    return summed.join(offsets, ["model", "bucket"]).select(
         "model",
         "fraud_score",
         "pos",
         "neg",
-        (F.col("pos_above") + F.sum("pos").over(inside)).alias("tp"),
-        (F.col("neg_above") + F.sum("neg").over(inside)).alias("fp"),
+        (F.col("pos_above") + F.col("pos_inside")).alias("tp"),
+        (F.col("neg_above") + F.col("neg_inside")).alias("fp"),
         "positives",
         "negatives",
     )

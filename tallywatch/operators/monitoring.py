@@ -17,11 +17,15 @@ BASELINE_DDL = "bin_low DOUBLE, bin_high DOUBLE, fraction DOUBLE, model_version
 
 
 def score_histogram(
-    scored: DataFrame, by: list[Column] | None = None, settings: Settings = DEFAULTS
+    scored: DataFrame,
+    by: list[Column] | None = None,
+    settings: Settings = DEFAULTS,
+    also: list[Column] | None = None,
 ) -> DataFrame:
     """Rows and share per score bin, empty bins included, per group of ``by``.
 
-    The bins are counted side by side in one aggregate and unfolded after it.
+    The bins are counted side by side in one aggregate and unfolded after it;
+    the aggregates of ``also`` are taken in the same pass and repeated per bin.
     """
     bins = settings.score_bins
     edges = bin_edges(bins)
@@ -30,6 +34,7 @@ def score_histogram(
     counts = scored.groupBy(*groups).agg(
         F.count(position).alias("_total"),
         *[F.count_if(position == i).alias(f"_bin{i}") for i in range(bins)],
+        *(also or []),
     )
     unfolded = F.array(
         *[
@@ -70,7 +75,13 @@ def psi_band(psi: Column, settings: Settings = DEFAULTS) -> Column:
 
 def drift(preds: DataFrame, baseline: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Population stability index of every prediction date against the baseline."""
-    days = score_histogram(preds, [_monitor_date()], settings)
+    return _drift_of(score_histogram(preds, [_monitor_date()], settings), baseline, settings)
+
+
+def _drift_of(
+    days: DataFrame, baseline: DataFrame, settings: Settings, kept: tuple[str, ...] = ()
+) -> DataFrame:
+    """Index per date from unfolded bins; ``kept`` columns are the same in all bins of a date."""
     expected = baseline.select(
         F.round(F.col("bin_low") * settings.score_bins).cast("int").alias("bin"),
         F.col("fraction").alias("expected"),
@@ -78,7 +89,7 @@ def drift(preds: DataFrame, baseline: DataFrame, settings: Settings = DEFAULTS)
     # one row per bin
     joined = days.join(F.broadcast(expected), "bin")
     psi = F.sum(psi_term(F.col("fraction"), F.col("expected"), settings))
-    return joined.groupBy("monitor_date").agg(psi.alias("psi"))
+    return joined.groupBy("monitor_date").agg(psi.alias("psi"), *[F.max(c).alias(c) for c in kept])
 
 
 def effectiveness(preds: DataFrame, labels: DataFrame) -> DataFrame:
@@ -111,21 +122,34 @@ def monitoring_rows(
     computed_at: Column | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """One row of metrics per prediction date, with the newest model version of the date."""
-    versions = preds.groupBy(_monitor_date()).agg(F.max("model_version").alias("model_version"))
-    counts = ["scored_count", "alert_count", "actual_fraud_count", "true_positive_count"]
-    return (
-        versions.join(drift(preds, baseline, settings), "monitor_date")
-        .join(effectiveness(preds, labels), "monitor_date", "left")
-        .select(
-            "monitor_date",
-            "model_version",
-            "psi",
-            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
-            "alert_precision",
-            "fraud_recall",
-            (F.current_timestamp() if computed_at is None else computed_at).alias("computed_at"),
-        )
+    """One row of metrics per prediction date, with the newest model version of the date.
+
+    Versions, bins and counts come from one pass over the predictions. A repeated
+    label counts once, as fraud if any copy says so. A date without labelled
+    predictions has counts of 0 and neither precision nor recall.
+    """
+    known = labels.groupBy("transaction_id").agg(F.max("is_fraud").alias("is_fraud"))
+    joined = preds.select("transaction_id", "event_ts", "fraud_score", "is_alert", "model_version").join(
+        known.withColumn("labelled", F.lit(True)), "transaction_id", "left"
+    )
+    alerted, fraud = F.col("labelled") & (F.col("is_alert") == 1), F.col("is_fraud") == 1
+    counts = {
+        "scored_count": F.count("labelled"),
+        "alert_count": F.count_if(alerted),
+        "actual_fraud_count": F.count_if(fraud),
+        "true_positive_count": F.count_if(alerted & fraud),
+    }
+    also = [F.max("model_version").alias("model_version"), *[n.alias(c) for c, n in counts.items()]]
+    days = score_histogram(joined, [_monitor_date()], settings, also)
+    found, some = F.col("true_positive_count"), F.col("scored_count") > 0
+    return _drift_of(days, baseline, settings, ("model_version", *counts)).select(
+        "monitor_date",
+        "model_version",
+        "psi",
+        *[F.col(c).cast("int").alias(c) for c in counts],
+        F.when(some, ratio(found, F.col("alert_count"))).alias("alert_precision"),
+        F.when(some, ratio(found, F.col("actual_fraud_count"))).alias("fraud_recall"),
+        (F.current_timestamp() if computed_at is None else computed_at).alias("computed_at"),
     )
 
 

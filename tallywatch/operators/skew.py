@@ -9,17 +9,20 @@ from tallywatch.config import DEFAULTS, Settings
 from tallywatch.session import written
 
 
-def heavy_keys(df: DataFrame, key: str, settings: Settings = DEFAULTS) -> DataFrame:
+def heavy_keys(
+    df: DataFrame, key: str, settings: Settings = DEFAULTS, pieces: str | None = None
+) -> DataFrame:
     """Keys with more rows than one task should hold.
 
-    Every such key comes back; how the list is joined is left to its size.
+    Every such key comes back; how the list is joined is left to its size. The
+    column ``pieces`` says into how many parts a key's rows are to be split.
     """
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > settings.hot_group_rows)
-        .select(key)
+        .select(key, *([F.ceil(F.col("_rows") / settings.hot_group_rows).alias(pieces)] if pieces else []))
     )
 
 
@@ -47,26 +50,28 @@ def lookup(
     """Left join of facts with a table that has one row per key.
 
     A dimension small enough, by count, is broadcast. Otherwise both sides are
-    shuffled; rows of heavy keys, and rows without a key, are spread over
-    ``salt_fanout`` partitions, and only the heavy dimension rows are copied.
+    shuffled; rows of a heavy key are split into as many parts as their number
+    asks for, and only the heavy dimension rows are copied. Rows without a key
+    match nothing and are spread at will.
     Heavy keys are counted on ``count_on`` if given: a table with the keys of
     ``facts`` that is cheaper to read.
     """
     if fits_broadcast(dimension.select(key), settings):
         return facts.join(F.broadcast(dimension), key, "left")
 
-    fanout = settings.salt_fanout
     counted = facts if count_on is None else count_on
-    keys = written(heavy_keys(counted, key, settings), "heavy-keys")
-    heavy = keys.withColumn("_heavy", F.lit(True))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(fanout)).cast("int")
+    heavy = written(heavy_keys(counted, key, settings, "_pieces"), "heavy-keys")
+    spread = F.xxhash64(spread_by)
     salted_facts = facts.join(heavy, key, "left").withColumn(
-        "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), salt).otherwise(0)
+        "_salt",
+        F.when(F.col(key).isNull(), spread)
+        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
+        .otherwise(F.lit(0).cast("long")),
     )
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_pieces", F.lit(1)) - 1)
     salted_dimension = (
-        dimension.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+        dimension.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
     )
-    return salted_facts.drop("_heavy").join(salted_dimension, [key, "_salt"], "left").drop("_salt")
+    return salted_facts.drop("_pieces").join(salted_dimension, [key, "_salt"], "left").drop("_salt")
 
 

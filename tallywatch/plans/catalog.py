@@ -26,6 +26,7 @@ SCORED_AT = "2024-02-02 00:00:00"
 BACKFILL_DATE = "2024-01-15"
 INGEST_DATE = dt.date(2024, 2, 1)
 SPLIT_FEED = dt.date(2024, 1, 28)
+LATE_FEED = dt.date(2024, 1, 15)
 FIRST_LOAD_END = dt.date(2024, 1, 27)
 RESCORE_START = dt.date(2024, 1, 26)
 SMALL_BUDGET = replace(DEFAULTS, max_daily_alerts=40)
@@ -94,6 +95,19 @@ def stream_quarantine(spark, sf_dir):
     return ingest.read_quarantine(spark, _streamed(spark, sf_dir)).select(*TYPED, "_quarantine_reason")
 
 
+def stream_late(spark, sf_dir):
+    """A whole day delivered far behind the watermark: every row is in Silver or in quarantine."""
+    layers = ingest.Layers(new_folder(spark, "layers"))
+    lines = written(fixtures.feed_lines(spark, sf_dir), "lines")
+    in_time = (F.col("feed_date") <= F.lit(SPLIT_FEED)) & (F.col("feed_date") != F.lit(LATE_FEED))
+    for rows in (lines.where(in_time), lines.where(~in_time)):
+        fixtures.write_feed(rows, layers.feed)
+        ingest.run_update(spark, layers)
+    clean = ingest.read_silver(spark, layers).withColumn("_quarantine_reason", F.lit(None).cast("string"))
+    columns = [*TYPED, "_quarantine_reason"]
+    return clean.select(*columns).unionByName(ingest.read_quarantine(spark, layers).select(*columns))
+
+
 def silver_transactions(spark, sf_dir):
     return _silver(spark, sf_dir).select(*TYPED)
 
@@ -482,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "bronze_rescued": bronze_rescued,
     "stream_silver": stream_silver,
     "stream_quarantine": stream_quarantine,
+    "stream_late": stream_late,
     "silver_transactions": silver_transactions,
     "silver_dedup_first": silver_dedup_first,
     "silver_dedup": silver_dedup,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+import json
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tallywatch.operators import gold
 from tallywatch.operators.contract import quarantine, typed
 from tallywatch.operators.dedup import silver as clean
 from tallywatch.operators.evaluate import evaluate, promotion_gate
-from tallywatch.operators.features import build_features, merchant_risk, split_bounds, time_split
+from tallywatch.operators.features import FEATURE_COLS, build_features, merchant_risk, split_bounds, time_split
 from tallywatch.operators.monitoring import MONITORING_DDL, monitoring_rows, psi_band, score_baseline
 from tallywatch.operators.scoring import PREDICTIONS_DDL, batch_score, on_date, resolve_date
 from tallywatch.operators.training import TrainingPlan, fit_candidates, score_with
@@ -23,7 +24,7 @@ from tallywatch.plans.registry import Registry
 from tallywatch.session import exists, written
 from tallywatch.sources.feed import read_bronze
 from tallywatch.sources.tables import VersionedTable
-from tallywatch.streaming.ingest import Layers, read_quarantine, read_silver, run_update
+from tallywatch.streaming.ingest import Layers, read_quarantine, read_silver, run_update, store_rule_counts
 
 DAILY_DDL = (
     "txn_date DATE, txn_count BIGINT, total_amount DOUBLE, fraud_count BIGINT, "
@@ -67,8 +68,10 @@ class Warehouse:
         return VersionedTable(self.spark, self.layers.gold("gold_daily_kpis"), DAILY_DDL, "txn_date")
 
     def update(self) -> dict[str, int]:
-        """Take in new feed files and refresh the aggregates."""
+        """Take in new feed files, store the counts per rule and refresh the aggregates."""
         counts = run_update(self.spark, self.layers, self.settings)
+        if counts:
+            store_rule_counts(self.spark, self.layers, counts)
         self.refresh_gold()
         return counts
 
@@ -99,6 +102,8 @@ class Warehouse:
                 self.layers.rejected,
                 lambda p: read_quarantine(self.spark, self.layers),
             ),
+            "expectation_counts": (self.layers.rule_counts, self.spark.read.parquet),
+            "ml_candidate_metrics": (f"{self.root}/candidate_metrics", self.spark.read.parquet),
             "gold_daily_kpis": (self.daily.path, lambda p: self.daily.read()),
             "ml_predictions": (self.predictions.path, lambda p: self.predictions.read()),
             "ml_monitoring_metrics": (self.monitoring.path, lambda p: self.monitoring.read()),
@@ -150,6 +155,8 @@ class Warehouse:
     def train(self, plan: TrainingPlan = TrainingPlan()) -> dict:
         """Fit the candidates, register the better one, promote it if it wins.
 
+        The metrics and parameters of all candidates are stored with the version.
+
         The risk snapshot and the score baseline are stored per version, so a
         champion that stays is still scored with its own.
         """
@@ -168,13 +175,19 @@ class Warehouse:
         if champion is not None:
             own = build_features(txns, self.risk_snapshot(champion), self.settings)
             own_test = time_split(own, split_date).where("split = 'test'")
-            parts.append(self._scored(own_test, incumbent, score_with(self.registry.load(champion))))
+            parts.append(self._scored(own_test, incumbent, score_with(self.registry.load(champion, FEATURE_COLS))))
         scored = written(reduce(DataFrame.unionByName, parts), "test-scores")
-        gate = promotion_gate(evaluate(scored, self.settings), names, incumbent, self.settings)
+        metrics = written(evaluate(scored, self.settings), "candidate-metrics")
+        gate = promotion_gate(metrics, names, incumbent, self.settings)
         decision = gate.first().asDict()
 
         winner = decision["challenger"]
-        version = self.registry.register(fitted[winner], winner, decision["challenger_pr_auc"])
+        version = self.registry.register(
+            fitted[winner], winner, decision["challenger_pr_auc"], FEATURE_COLS
+        )
+        metrics.withColumn("parameters", F.lit(json.dumps(asdict(plan)))).write.parquet(
+            f"{self.root}/candidate_metrics/version={version}"
+        )
         risk.write.parquet(f"{self.root}/merchant_risk/version={version}")
         if decision["promoted"]:
             won = scored.where(F.col("model") == winner)
@@ -205,7 +218,7 @@ class Warehouse:
         batch = batch_score(
             self.silver(),
             self.risk_snapshot(version),
-            score_with(self.registry.load(version)),
+            score_with(self.registry.load(version, FEATURE_COLS)),
             version,
             date,
             settings=self.settings,

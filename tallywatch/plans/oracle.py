@@ -356,6 +356,13 @@ ORACLE: dict[str, str] = {
     ),
     "stream_silver": _sql(_CLEAN, _SILVER_OUT),
     "stream_quarantine": _sql(_BAD, f"SELECT {_COLUMNS}, _quarantine_reason FROM rejected"),
+    "stream_late": _sql(
+        [*_CLEAN, _REJECTED],
+        f"""SELECT {_COLUMNS}, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM silver WHERE feed_date <> DATE '2024-01-15'
+           UNION ALL SELECT {_COLUMNS}, _quarantine_reason FROM rejected
+           UNION ALL SELECT {_COLUMNS}, 'late_event' FROM checked
+           WHERE ok_id AND ok_ts AND ok_customer AND ok_amount AND feed_date = DATE '2024-01-15'""",
+    ),
     "silver_transactions": _sql(_CLEAN, _SILVER_OUT),
     # Both copies of a duplicate carry the same defect, so the order of the steps does not show.
     "silver_dedup_first": _sql(_CLEAN, _SILVER_OUT),

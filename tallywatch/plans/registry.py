@@ -12,7 +12,7 @@ from tallywatch.operators.upsert import upsert_into
 from tallywatch.sources.tables import VersionedTable
 
 CHAMPION = "champion"
-_VERSIONS_DDL = "model STRING, version INT, algorithm STRING, test_pr_auc DOUBLE, path STRING"
+_VERSIONS_DDL = "model STRING, version INT, algorithm STRING, test_pr_auc DOUBLE, path STRING, inputs STRING"
 _ALIASES_DDL = "model STRING, alias STRING, version INT"
 
 
@@ -30,13 +30,15 @@ class Registry:
     def _aliases(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/aliases", _ALIASES_DDL, "model")
 
-    def register(self, fitted: PipelineModel, algorithm: str, test_pr_auc: float) -> int:
-        """Save a model as the next version; every version is kept."""
+    def register(
+        self, fitted: PipelineModel, algorithm: str, test_pr_auc: float, inputs: list[str]
+    ) -> int:
+        """Save a model with the columns it was fitted on as the next version; every version is kept."""
         version = (self._versions.read().select(F.max("version")).first()[0] or 0) + 1
         path = f"{self.root}/models/version={version}"
         fitted.write().overwrite().save(path)
         row = self.spark.createDataFrame(
-            [(self.model, version, algorithm, test_pr_auc, path)], _VERSIONS_DDL
+            [(self.model, version, algorithm, test_pr_auc, path, ",".join(inputs))], _VERSIONS_DDL
         )
         upsert_into(self._versions, row, ["model", "version"])
         return version
@@ -53,5 +55,11 @@ class Registry:
         row = self._aliases.read().where(F.col("alias") == alias).select("version").first()
         return None if row is None else row["version"]
 
-    def load(self, version: int) -> PipelineModel:
+    def load(self, version: int, inputs: list[str]) -> PipelineModel:
+        """A stored model; fails if it was fitted on other columns, or in another order, than ``inputs``."""
+        row = self._versions.read().where(F.col("version") == version).select("inputs").first()
+        if row is None:
+            raise ValueError(f"no version {version} of {self.model}")
+        if row["inputs"] != ",".join(inputs):
+            raise ValueError(f"version {version} was fitted on {row['inputs']}, not on {','.join(inputs)}")
         return PipelineModel.load(f"{self.root}/models/version={version}")

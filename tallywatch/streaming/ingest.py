@@ -51,6 +51,10 @@ class Layers:
     def late(self) -> str:
         return f"{self.root}/quarantine_late"
 
+    @property
+    def rule_counts(self) -> str:
+        return f"{self.root}/expectation_counts"
+
     def gold(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -208,6 +212,13 @@ def observed_counts(query: StreamingQuery) -> dict[str, int]:
     return totals
 
 
+def store_rule_counts(spark: SparkSession, layers: Layers, counts: dict[str, int]) -> None:
+    """Append what a run observed: one row per rule, with the rows seen and those that passed."""
+    rows = [(name, counts["rows"], n) for name, n in counts.items() if name != "rows"]
+    found = spark.createDataFrame(rows, "rule STRING, checked BIGINT, passed BIGINT")
+    found.withColumn("run_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(layers.rule_counts)
+
+
 def run_update(spark: SparkSession, layers: Layers, settings: Settings = DEFAULTS) -> dict[str, int]:
     """Ingest what is new and carry it to Silver and quarantine; returns counts per rule."""
     run_bronze(spark, layers)

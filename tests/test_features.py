@@ -16,7 +16,7 @@ DDL = (
     "transaction_id string, event_ts timestamp, customer_id string, merchant_id string, amount double, "
     "country string, device_id string, channel string, is_fraud int"
 )
-HOT = replace(DEFAULTS, hot_group_rows=5, max_broadcast_rows=2, salt_fanout=3)
+HOT = replace(DEFAULTS, hot_group_rows=5, max_broadcast_rows=2)
 
 
 def rows(spark, values):

@@ -168,3 +168,16 @@ def test_duplicates_across_runs_are_dropped(spark):
         ingest.run_update(spark, layers)
     assert _ids(ingest.read_silver(spark, layers)) == ["x"]
     assert ingest.read_quarantine(spark, layers).isEmpty()
+
+
+def test_counts_metrics_and_signature_are_stored(warehouse):
+    stored = warehouse.tables()
+    counts = stored["expectation_counts"].groupBy("rule").agg(F.sum("checked").alias("n"), F.count("*").alias("runs"))
+    bronze = stored["bronze_transactions"].count()
+    assert {(r["n"], r["runs"]) for r in counts.collect()} == {(bronze, 2)}
+    if warehouse.registry.resolve() is None:
+        warehouse.train(SHORT)
+    metrics = warehouse.tables()["ml_candidate_metrics"].where("version = 1").collect()
+    assert len(metrics) == 2 and all('"depth": 3' in r["parameters"] and r["roc_auc"] > 0 for r in metrics)
+    with pytest.raises(ValueError, match="was fitted on"):
+        warehouse.registry.load(1, ["amount"])
