@@ -105,7 +105,8 @@ def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     shared = written(documents.select("doc_id", key.alias("key")).groupBy("key").count().filter("count > 1").select("key"), "repeat-shared")
     alone = own.join(spans, "key", "left").join(shared.withColumn("shared", F.lit(True)), "key", "left")
     single = alone.filter("shared is null").select("row", "text", F.col("spans").cast(SPANS).alias("spans"))
-    ordered = alone.filter("shared").withColumn("nth", F.monotonically_increasing_id())
+    # The numbers are stored, since a second computation might give others.
+    ordered = written(alone.filter("shared").withColumn("nth", F.monotonically_increasing_id()), "repeat-ordered")
     leader = ordered.groupBy("key").agg(F.min("nth").alias("leader"))
     again = ordered.join(leader, "key").select(
         "row", "text", F.when(F.col("nth") == F.col("leader"), F.col("spans")).otherwise(F.col("all_spans")).cast(SPANS).alias("spans")
