@@ -143,9 +143,9 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     labelled = clear_labels(labels, "quality").withColumn("turn", turn)
     target = labelled.filter("label = 1 and turn % 2 = 0").orderBy("turn", "doc_id").limit(TARGET_DOCS)
     others = labelled.filter("turn % 2 = 1").orderBy("turn", "doc_id").limit(LEVEL_DOCS)
-    sample = written(
-        named.join(target.unionByName(others).select("doc_id", "label", "turn"), "doc_id"), "quality-labelled"
-    )
+    chosen = target.unionByName(others).select("doc_id", "label", "turn")
+    # at most TARGET_DOCS + LEVEL_DOCS rows of three numbers
+    sample = written(named.join(F.broadcast(chosen), "doc_id"), "quality-labelled")
     raw = bucket_counts(named) + SMOOTHING
     good = bucket_counts(sample.filter("turn % 2 = 0")) + SMOOTHING
     ratio = np.log(good / good.sum()) - np.log(raw / raw.sum())
