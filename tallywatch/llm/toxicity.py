@@ -181,7 +181,9 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[Model | None, float, f
         chosen = chosen.unionByName(for_counts.filter(F.col("label") == label).orderBy("turn", "doc_id").limit(least).withColumn("use", F.lit(0)))
     chosen = chosen.unionByName(labelled.filter(part == 0).orderBy("turn", "doc_id").limit(CURVE_DOCS).withColumn("use", F.lit(1)))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sample = written(texts.join(written(chosen, "toxic-labels"), "doc_id").select("text", "label", "use"), "toxic-sample")
+    # at most 2 * CLASS_DOCS + CURVE_DOCS rows of four numbers
+    few = F.broadcast(written(chosen, "toxic-labels"))
+    sample = written(texts.join(few, "doc_id").select("text", "label", "use"), "toxic-sample")
     kinds = {tuple(r) for r in sample.select("use", "label").distinct().collect()}
     if len(kinds) < 4:
         return None, 0.0, -1e-6
