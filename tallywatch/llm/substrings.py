@@ -1,12 +1,20 @@
-"""Substring dedup by line and paragraph hashing.
-
-A unit is a line. Its digest is taken
-after white space is folded and A-Z lower-cased. Of all units with one digest the
-earliest by ``(doc_id, place in the text)`` stays, the others are removed from their
-texts; their character offsets in the original text are kept.
-
-Units of fewer than ``min_words`` words are never removed, so common short lines
-stay where they are.
+"""Substring dedup by hashing lines, paragraphs and runs of smaller units.
+
+A text is cut into units: at line breaks, after the sentence marks of ``BREAK`` and,
+where neither comes for ``LONG_UNIT`` words, after the next word whose checksum is a
+multiple of ``CUT_ONE_IN``, so equal passages are cut alike wherever they stand. A
+passage is a run of consecutive units of one text with ``min_words`` words or more;
+paragraphs and long lines are such runs. For each unit the shortest passage that starts
+with it and the shortest that ends with it are hashed, after white space is folded and
+A-Z lower-cased. Every unit of a longer passage lies in one of these, inside the
+passage, so nothing longer needs a digest. Of all passages with one digest the earliest
+by ``(doc_id, place in the text)`` stays, the others are removed from their texts;
+their character offsets in the original text are kept, overlapping ones joined. A
+passage that overlaps the earliest in the same text is not a copy of it.
+
+Runs of fewer than ``min_words`` repeated words are never removed, so common short
+lines stay where they are. Of a repeated passage the words before its first and after
+its last whole unit stay.
 
 Defined results: a null text stays null and has no units; a null ``doc_id`` ranks
 last; rows that repeat id and text are told apart by their own ranks, the first
@@ -17,6 +25,8 @@ keeps its units; an empty table gives an empty result. Other columns are kept by
 from __future__ import annotations
 
 import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,62 +37,117 @@ from tallywatch.llm.common import row_key
 from tallywatch.session import written
 
 MIN_WORDS = 50
+LONG_UNIT = 16
+CUT_ONE_IN = 8
+BREAK = re.compile(r"[.!?;:][\"')\]]*[ \t\r\f\v]+\n?|[\u3002\uff01\uff1f]|\n")
+WORD = re.compile(r"[^ \t\n\r\f\v]+")
 SPANS = "array<struct<begin:int,end:int>>"
 
 
-def units(text: str) -> Iterator[tuple[int, int, bytes, int]]:
-    """Character offsets, digest and number of words of each line; the end includes the line's break."""
+def units(text: str) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Character offsets and words of each unit; the end includes the break."""
     at = 0
-    for line in text.split("\n"):
-        end = min(at + len(line) + 1, len(text))
-        words = line.encode().lower().split()
+    for end in (*(m.end() for m in BREAK.finditer(text)), len(text)):
+        words = text[at:end].encode("utf-8", "replace").lower().split()
+        if len(words) > LONG_UNIT:
+            done = 0
+            for nth, m in enumerate(WORD.finditer(text, at, end), 1):
+                more = nth - done
+                if nth < len(words) and more >= LONG_UNIT and (more >= MIN_WORDS or zlib.crc32(words[nth - 1]) % CUT_ONE_IN == 0):
+                    stop = m.end() + 1
+                    yield at, stop, words[done:nth]
+                    at, done = stop, nth
+            words = words[done:]
         if words:
-            yield at, end, hashlib.blake2b(b" ".join(words), digest_size=16).digest(), len(words)
+            yield at, end, words
         at = end
 
 
-def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """``digest, doc_id, key, nth, begin, end``; ``nth`` orders equal units inside one text."""
+def passages(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """Character offsets and digest of the shortest passages that start or end with each unit."""
+    begins, ends, at, starts, said = [], [], [0], [0], []
+    for begin, end, words in units(text):
+        begins.append(begin)
+        ends.append(end)
+        said.append(b" ".join(words))
+        at.append(at[-1] + len(words))
+        starts.append(starts[-1] + len(said[-1]) + 1)
+    whole, found, last = b" ".join(said), set(), 0
+    for first in range(len(said)):
+        while last < len(said) and at[last] - at[first] < min_words:
+            last += 1
+        if at[last] - at[first] < min_words:
+            break
+        found.add((first, last))
+    first = 0
+    for last in range(1, len(said) + 1):
+        while at[last] - at[first + 1] >= min_words and first + 1 < last:
+            first += 1
+        if at[last] - at[first] >= min_words:
+            found.add((first, last))
+    for first, last in sorted(found):
+        yield begins[first], ends[last - 1], hashlib.blake2b(whole[starts[first] : starts[last] - 1], digest_size=16).digest()
+
+
+def passage_table(docs: DataFrame, min_words: int) -> DataFrame:
+    """``digest, doc_id, key, begin, end``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
                 (digest, doc_id, key, begin, end)
                 for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text")), strict=True)
-                for begin, end, digest, words in units(text or "")
-                if words >= min_words
+                for begin, end, digest in passages(text or "", min_words)
             ]
             columns = list(zip(*rows, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    schema = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("key", pa.string()), ("begin", pa.int32()), ("end", pa.int32())])
-    return docs.mapInArrow(run, "digest binary, doc_id long, key string, begin int, end int")
+    schema = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("key", pa.binary()), ("begin", pa.int32()), ("end", pa.int32())])
+    return docs.withColumn("key", F.unhex("key")).mapInArrow(run, "digest binary, doc_id long, key binary, begin int, end int")
 
 
 def removed_spans(docs: DataFrame, min_words: int) -> DataFrame:
-    """``key, keeper, spans``: the spans to remove from the texts of a key.
+    """``key, spans, all_spans``: the spans to remove from the texts of a key.
 
-    Rows that agree in id and text share a key; ``keeper`` are the spans that the
-    first of them may keep and the others may not.
+    Rows that agree in id and text share a key; the first of them loses ``spans``,
+    the others ``all_spans``. Spans may overlap.
     """
-    found = written(unit_table(docs, min_words), "repeat-units")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "begin")
-    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
-    repeated = found.join(written(first.select("digest", "first.key", F.col("first.begin").alias("first_begin")), "repeat-first").withColumnRenamed("key", "first_key"), "digest")
-    keeps = (F.col("key") == F.col("first_key")) & (F.col("begin") == F.col("first_begin"))
-    return repeated.select("key", "begin", "end", keeps.alias("keeps")).distinct().groupBy("key").agg(
+    everything = written(passage_table(docs, min_words), "repeat-units")
+    # Most digests occur once: only the others are ranked.
+    again = written(everything.groupBy("digest").count().filter("count > 1").select("digest"), "repeat-digests")
+    found = written(everything.join(again, "digest", "left_semi"), "repeat-found")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "begin", "end")
+    first = written(found.groupBy("digest").agg(F.min(rank).alias("first")).select(
+        "digest", F.col("first.key").alias("first_key"), F.col("first.begin").alias("first_begin"), F.col("first.end").alias("first_end")
+    ), "repeat-first")
+    keeps = (F.col("key") == F.col("first_key")) & (F.col("begin") < F.col("first_end"))
+    repeated = found.join(first, "digest").select("key", "begin", "end", keeps.alias("keeps")).distinct()
+    return repeated.groupBy(F.lower(F.hex("key")).alias("key")).agg(
         F.sort_array(F.collect_list(F.when(~F.col("keeps"), F.struct("begin", "end")))).alias("spans"),
         F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("all_spans"),
     )
 
 
+def joined(spans: list[dict[str, int]] | None) -> list[dict[str, int]] | None:
+    """Sorted spans as disjoint ones; those that touch become one."""
+    if spans is None:
+        return None
+    out: list[dict[str, int]] = []
+    for span in spans:
+        if out and span["begin"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], span["end"])
+        else:
+            out.append(dict(span))
+    return out
+
+
 def cut(docs: DataFrame) -> DataFrame:
-    """Replaces ``text`` by what is left outside ``spans``."""
+    """Joins overlapping ``spans`` and replaces ``text`` by what is left outside them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            kept, removed = [], [joined(spans) for spans in batch.column("spans").to_pylist()]
+            for text, spans in zip(batch.column("text").to_pylist(), removed, strict=True):
                 if text is not None and spans:
                     pieces, at = [], 0
                     for span in spans:
@@ -91,7 +156,9 @@ def cut(docs: DataFrame) -> DataFrame:
                     text = "".join([*pieces, text[at:]])
                 kept.append(text)
             place = batch.schema.get_field_index("text")
-            yield batch.set_column(place, batch.schema.field(place), pa.array(kept, batch.schema.field(place).type))
+            batch = batch.set_column(place, batch.schema.field(place), pa.array(kept, batch.schema.field(place).type))
+            place = batch.schema.get_field_index("spans")
+            yield batch.set_column(place, batch.schema.field(place), pa.array(removed, batch.schema.field(place).type))
 
     return docs.mapInArrow(run, docs.schema)
 

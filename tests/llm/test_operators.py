@@ -101,6 +101,27 @@ def test_substrings_keep_the_first_and_remove_the_rest(docs):
     assert twice == {LONG: 1, "": 1}
 
 
+def test_substrings_across_and_inside_lines(docs):
+    lines = "\n".join(f"The line number {i} of a poem, repeated by many." for i in range(12))
+    inside = " ".join(f"Sentence {i} of the passage is here." for i in range(12))
+    bare = " ".join(f"u{i}" for i in range(300))
+    rows = [
+        (1, f"Head one.\n{lines}\nTail one.", "a"), (2, f"Another head.\n{lines}\nAnother tail.", "a"),
+        (3, f"Before it. {inside} After it.", "a"), (4, f"Something else. {inside} The rest.\nA last line.", "a"),
+        (5, bare, "a"), (6, f"q1 q2 q3 {bare} q4", "a"), (7, "Short line.\n" * 3, "a"), (8, "Ten words are in this line of the song, yes.\n" * 20, "a"),
+    ]
+    out = {r["doc_id"]: r for r in substrings.repeats(docs(rows)).collect()}
+    assert all(out[i]["text"] == rows[i - 1][1] for i in (1, 3, 5, 7))
+    assert out[2]["text"] == "Another head.\nAnother tail."
+    assert out[4]["text"] == "Something else. The rest.\nA last line."
+    assert len(out[6]["text"].split()) < 100
+    # A periodic text keeps one passage whole.
+    assert out[8]["text"] == "Ten words are in this line of the song, yes.\n" * 5
+    for r in out.values():
+        ends = [0, *(x for s in r["spans"] for x in (s["begin"], s["end"]))]
+        assert ends == sorted(ends) and r["n_removed"] == sum(s["end"] - s["begin"] for s in r["spans"])
+
+
 def test_topk_ties_copies_and_bad_vectors(spark):
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [1.0]), (6, [0.0, -0.1]), (None, [2.0, 2.0])]
     found = [tuple(r) for r in topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect()]
