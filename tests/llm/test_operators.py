@@ -184,6 +184,27 @@ def test_pages_without_article_use_the_template(spark):
     assert text[90] == text[91] == "" and text[92] == "plain < text" and text[93] == text[94] == "same"
 
 
+def test_pages_names_do_not_cost_content(spark):
+    share = "<div class='share'>Share this</div>"
+    bodies = [
+        "<article class='post category-social'><p>Own {i}</p></article>",
+        "<div class='site no-sidebar'><article><p>Own {i}</p></article></div>",
+        "<article><section id='related-work'><h2 id='search-algorithms'>Own {i}</h2></section></article>",
+        "<article><h2><span class='headline' id='Social_impact'>Own {i}</span></h2></article>",
+        "<article><pre><span class='comment'>Own {i}</span></pre></article>",
+        "<form class='search'><article><p>Own {i}</p></article></form>",
+        "<article><p>Own {i}</p>" + share + "</article>",
+        "<main><div class='sidebar'>Elsewhere {i}</div><article><p>Own {i}</p></article></main>",
+        "<div class='sidebar'><article>Teaser {i}</article></div><article><p>Own {i}</p></article>",
+        "<article><p>Own <math><mi>{i}</mi><annotation encoding='tex'>x</annotation></math></p></article>",
+        "<div class='search'>Find</div><div class='site no-sidebar'>Own {i}</div>",
+        "<pre><span class='comment'>Own {i}</span></pre>",
+    ]
+    rows = [(k * 10 + i, f"http://h{k}.example/{i}", f"<body><nav>menu</nav>{b.format(i=i)}</body>") for k, b in enumerate(bodies) for i in range(6)]
+    text = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: v for k, v in text.items() if v != f"Own {k % 10}"} == {}
+
+
 def test_licences(docs):
     rows = [*EDGE, (20, "intro\nLicensed under the Apache License, Version 2.0.", "a"), (21, "Released under the MIT License.\nAll rights reserved.", "a"), (22, "All the rights of the people", "a")]
     found = {r["doc_id"]: r["families"] for r in licenses.scan(docs(rows)).collect()}
