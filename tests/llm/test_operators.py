@@ -212,6 +212,26 @@ def test_licences(docs):
     assert all(v == licenses.UNKNOWN for k, v in found.items() if k not in (20, 21))
 
 
+def test_licences_reworded_and_wrapped(docs):
+    want = {
+        "Licensed under the GNU General Public License, version 3": "gpl-3.0",
+        "Released under the GNU General Public License version 3": "gpl-3.0",
+        "MIT License": "mit",
+        "The MIT License (MIT)": "mit",
+        "Intro.\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software), to deal\nin the Software": "mit",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:": "bsd",
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.": "gpl-3.0",
+        "Distributed under the GNU Affero General Public License v3.0": "agpl-3.0",
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted": "isc",
+        "This program is made available under the terms of the Eclipse Public License 2.0": "epl-2.0",
+        "Dedicated to the public under CC0 1.0 Universal": "cc0-1.0",
+        "The permission of the rights holder and a license to drive are needed": licenses.UNKNOWN,
+    }
+    found = {r["doc_id"]: r for r in licenses.scan(docs([(i, t, "a") for i, t in enumerate(want)])).collect()}
+    assert {t: found[i]["families"] for i, t in enumerate(want)} == want
+    assert all(found[i]["n_notices"] == (f != licenses.UNKNOWN) for i, f in enumerate(want.values()))
+
+
 def test_quality_and_toxicity_on_held_out_labels(spark):
     documents, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     kept = quality.resampled(documents, labels).join(labels, "doc_id").filter("crc32(cast(doc_id as string)) % 2 = 1").toPandas()
