@@ -12,6 +12,11 @@ every value one bit away and every value two bits away; two fingerprints within
 three bits meet in a value that is one bit from one and two from the other, and
 each such value needs only a star of links. That is exact and linear in the crowd.
 
+With ``jaccard`` given, texts whose sets of five-word shingles agree to that share are
+linked too: min-hash bands propose pairs, each member of a bucket with three others
+chosen by hash, so a bucket costs links in proportion to its members, and each pair is
+verified on the whole shingle sets.
+
 Defined results: a null or empty text has fingerprint zero; a null ``doc_id`` never
 is a component's id while it has another; repeated rows share a component; an empty
 table gives an empty result. Other columns are ignored.
@@ -37,6 +42,9 @@ CROWD = 256
 SEED = 42
 PARTITIONS = (2, 3, 4)
 HASHES_AT_ONCE = 65_536
+WIDE_SHINGLE = 5
+BANDS, BAND_ROWS, CENTRES = 20, 6, 3
+MIXERS = np.random.default_rng(SEED).integers(1, 2**63, (2, BANDS * BAND_ROWS)).astype(np.uint64) | np.uint64(1)
 
 
 def fingerprint(text: str | None) -> int:
@@ -237,20 +245,81 @@ def _star(edges: DataFrame, smaller: bool) -> DataFrame:
     return joined.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def shingles(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of the five-word shingles; a shorter text is one shingle."""
+    words = (text or "").encode().lower().split()
+    parts = zip(*(words[k:] for k in range(WIDE_SHINGLE))) if len(words) >= WIDE_SHINGLE else [words] if words else []
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(x), SEED) for x in parts), np.uint64))
+
+
+def bands(values: np.ndarray) -> np.ndarray:
+    """One number for each band of the min-hashes."""
+    lows = np.full(BANDS * BAND_ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(values), 1024):
+        mixed = (values[at : at + 1024, None] ^ MIXERS[0]) * MIXERS[1]
+        np.minimum(lows, (mixed ^ mixed >> np.uint64(32)).min(0), out=lows)
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(lows.reshape(BANDS, -1))], np.uint64).view(np.int64)
+
+
+def similar_links(docs: DataFrame, printed: DataFrame, jaccard: float) -> DataFrame:
+    """``a, b``: links between fingerprints of texts that agree to ``jaccard``."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array([xxhash.xxh128_digest(x.tobytes()) for x in sets]), pa.array([bands(x) if len(x) else None for x in sets], pa.list_(pa.int64()))],
+                ["key", "digest", "bands"],
+            )
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([shingles(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())], ["key", "members"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True):
+                x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= jaccard * max(len(x), len(y)) else 0
+                keep.append(both >= jaccard * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    texts = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    signed = texts.mapInArrow(sign, "key string, digest binary, bands array<long>").filter("bands is not null")
+    # One row stands for all texts of one shingle set and fingerprint.
+    one_each = signed.join(printed.select("key", "fp"), "key").groupBy("fp", "digest").agg(F.min(F.struct("key", "bands")).alias("low"))
+    signs = written(one_each.select("fp", "low.key", "low.bands"), "simhash-signs")
+    spread = signs.select("fp", "key", F.posexplode("bands").alias("band", "value"))
+    pick = [F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "fp")).alias(f"c{k}") for k in range(CENTRES)]
+    centres = spread.groupBy("band", "value").agg(F.count("*").alias("n"), *pick).filter("n > 1").drop("n")
+    met = spread.hint("merge").join(centres, ["band", "value"]).select("fp", "key", F.explode(F.array(*(f"c{k}" for k in range(CENTRES)))).alias("c"))
+    pairs = written(met.filter("fp != c.fp").select(
+        F.least("key", "c.key").alias("k"), F.greatest("key", "c.key").alias("l"), F.least("fp", "c.fp").alias("a"), F.greatest("fp", "c.fp").alias("b")
+    ).distinct(), "simhash-pairs")
+    involved = pairs.select(F.col("k").alias("key")).unionByName(pairs.select(F.col("l").alias("key"))).distinct()
+    sets = written(texts.join(involved, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(fill, "key string, members binary"), "simhash-sets")
+    first = pairs.join(sets.select(F.col("key").alias("k"), F.col("members").alias("one")), "k")
+    return first.join(sets.select(F.col("key").alias("l"), F.col("members").alias("two")), "l").select("a", "b", "one", "two").mapInArrow(verify, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, jaccard: float | None = None) -> DataFrame:
     """One row per document: ``doc_id, key, fp, root, component_id``."""
     printed = written(fingerprints(docs), "simhash-prints")
     values = written(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-values")
-    roots = components(links(values.select("fp")))
+    linked = links(values.select("fp"))
+    if jaccard is not None:
+        linked = linked.unionByName(similar_links(docs, printed.dropDuplicates(["key"]), jaccard)).distinct()
+    roots = components(linked)
     rooted = values.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = written(rooted.join(lowest, "root").select("fp", "root", "component_id"), "simhash-roots")
     return printed.join(named, "fp").select("doc_id", "key", "fp", "root", "component_id")
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, jaccard: float | None = None) -> DataFrame:
     """One document of each component, that of the smallest id, with its own columns."""
-    grouped = near_duplicates(documents)
+    grouped = near_duplicates(documents, jaccard)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
     kept = written(grouped.groupBy("root").agg(F.min(place).alias("place")).select("place.key"), "simhash-kept")
     own = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("row"))

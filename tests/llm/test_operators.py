@@ -257,6 +257,25 @@ def test_kth_largest(spark):
         assert quality.kth_largest(frame, k) == sorted(values)[-k]
 
 
+def test_pipeline_drops_copies_by_jaccard(spark, docs):
+    """Edited texts of five-word Jaccard 0.8 or more that lie more than three bits apart."""
+    random = np.random.default_rng(3)
+    rows, far = list(EDGE), 0
+    for k in range(40):
+        words = [f"t{x}" for x in random.integers(0, 5000, 300)]
+        edited = list(words)
+        for at in random.choice(300, 4, replace=False):
+            edited[at] = f"e{at}"
+        one, two = " ".join(words), " ".join(edited)
+        x, y = (set(simhash.shingles(t).tolist()) for t in (one, two))
+        assert len(x & y) / len(x | y) >= 0.8
+        far += (simhash.fingerprint(one) ^ simhash.fingerprint(two)).bit_count() > simhash.DISTANCE
+        rows += [(100 + 2 * k, one, "a"), (101 + 2 * k, two, "a")]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs(rows), SMALL).collect()}
+    assert far > 10
+    assert {i for i in kept if i and i >= 100} == {100 + 2 * k for k in range(40)}
+
+
 def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SMALL).toPandas()
     assert len(corpus_pipeline.STAGES) == 5
