@@ -205,6 +205,21 @@ def test_pages_names_do_not_cost_content(spark):
     assert {k: v for k, v in text.items() if v != f"Own {k % 10}"} == {}
 
 
+def test_pages_deep_nesting_and_own_names(spark):
+    rows = [(0, "http://d.example/", "<div>" * 5000 + "deep"), (1, "http://d.example/", "<div><p>" * 2500 + "other")]
+    for i in range(10):
+        # Own ids and an optional element before the constant slot.
+        extra = f"<div>Extra {i}</div><p>more {i}</p>" if i % 2 else ""
+        rows.append((10 + i, "http://o.example/", f"<body>{extra}<div>Welcome</div><h2 id='own-{'abcdefghij'[i]}'>Head {i}</h2></body>"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r["page_id"]: r["text"] for r in pages.main_text(frame).collect()}
+    assert text[0] == "deep" and text[1] == "other"
+    assert all(text[10 + i] == (f"Extra {i}\n\nmore {i}\n\n" if i % 2 else "") + f"Head {i}" for i in range(10))
+    # Per host only constant slots are gathered, however many own slots its pages have.
+    host = frame.withColumn("host", pages.F.lit("o"))
+    assert max(len(r["template"]) for r in pages.templates(host.filter("page_id >= 10")).collect()) <= 2
+
+
 def test_licences(docs):
     rows = [*EDGE, (20, "intro\nLicensed under the Apache License, Version 2.0.", "a"), (21, "Released under the MIT License.\nAll rights reserved.", "a"), (22, "All the rights of the people", "a")]
     found = {r["doc_id"]: r["families"] for r in licenses.scan(docs(rows)).collect()}
