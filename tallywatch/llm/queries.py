@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, simhash, substrings, topk, toxicity
+from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, repair, simhash, substrings, topk, toxicity
 from tallywatch.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages": op8_pages,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op12_repair": op12_repair,
 }
 
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op5_topk": topk.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
