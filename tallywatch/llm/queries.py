@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, repair, simhash, substrings, topk, toxicity
+from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, repair, simhash, substrings, topk, toxicity, trie
 from tallywatch.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audited(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op12_repair": op12_repair,
+    "op13_trie": op13_trie,
 }
 
 ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op5_topk": topk.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
