@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywatch.llm import decontaminate, licenses, mixing, pages, ppm, quality, repair, simhash, substrings, topk, toxicity, trie
+from tallywatch.llm import decontaminate, licenses, mixing, packing, pages, ppm, quality, repair, simhash, substrings, topk, toxicity, trie
 from tallywatch.llm.common import table
 
 
@@ -53,6 +53,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces, _ = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.drop("row", "skip")
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audited(repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages": op8_pages,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
     "op12_repair": op12_repair,
     "op13_trie": op13_trie,
 }

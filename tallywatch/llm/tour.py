@@ -5,7 +5,7 @@ one element. First by place: elements are dealt by ranges of ``place`` to tasks
 most ``TASK`` elements on average, and each task walks the links that stay inside it.
 If a round by place leaves more than half, the next is by coins: an element that draws
 heads takes over its successor if that draws tails, a quarter on average, wherever both
-are. When at most ``TASK`` elements are left, one task walks them. The sums before each
+are. When at most ``LAST`` elements are left, one task walks them. The sums before each
 element are then handed back down, round by round. The work is in proportion to the list.
 
 Defined results: an empty list gives no rows; an element without successor has a null
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tallywatch.session import written
 
-#: Elements of one task.
-TASK = 200_000
+#: Elements of one task on average, and of a list that is walked by one task.
+TASK, LAST = 200_000, 20_000
 
 RUN = pa.schema([("id", pa.binary()), ("head", pa.binary()), ("before", pa.list_(pa.int64())), ("tail", pa.bool_()), ("next", pa.binary()), ("total", pa.list_(pa.int64())), ("place", pa.int64()), ("spot", pa.int64())])
 RUN_DDL = "id binary, head binary, before array<long>, tail boolean, next binary, total array<long>, place long, spot long"
@@ -86,9 +86,9 @@ def by_coins(elements: DataFrame, nth: int) -> tuple[DataFrame, DataFrame]:
 def sums_before(elements: DataFrame) -> DataFrame:
     """``id, before``: the sums of all elements before each one, from ``id, next, sums, place, spot``."""
     rounds, n, places_help, nth = [], elements.count(), True, 0
-    while n > TASK:
+    while n > LAST:
         if places_help:
-            members, left = by_place(elements, n // TASK + 1)
+            members, left = by_place(elements, n // TASK + 2)
         else:
             members, left = by_coins(elements, nth)
         rounds.append(members)

@@ -68,6 +68,7 @@ def test_trie_against_all_prefixes(spark):
 def test_trie_over_many_partitions(spark, monkeypatch, task):
     """Conversations, siblings, ids and runs that cross partition borders."""
     monkeypatch.setattr(tour, "TASK", task)
+    monkeypatch.setattr(tour, "LAST", task)
     monkeypatch.setattr(trie, "IDS", 4)
     rows = [r for r in some_rows() if r[0] is not None and (r[0] >= 900 or r[0] % 7 < 2)][:260]
     adaptive, parts = (spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"))
@@ -83,6 +84,7 @@ def test_trie_over_many_partitions(spark, monkeypatch, task):
 @pytest.mark.parametrize("scattered", [False, True])
 def test_sums_before(spark, monkeypatch, scattered):
     monkeypatch.setattr(tour, "TASK", 60)
+    monkeypatch.setattr(tour, "LAST", 60)
     draw = random.Random(2)
     places = list(range(400))
     if scattered:
