@@ -34,20 +34,29 @@ END = 1
 #: Rests ranked by one task at a time.
 BUCKET = 100_000
 #: Distinct words whose ids a task keeps.
-WORDS = 400_000
+WORDS = 800_000
 #: Characters tokenized at a time.
-CHARS = 4_000_000
+CHARS = 2_000_000
 #: A word of its own, by which new words are told apart in one call.
 MARK = "\x01"
-#: Single marks at the end of a word; the tokenizer cuts there too, as it does at case and white space.
-EDGE = re.compile(rb"(?<=[a-z\x80-\xff])([.,;:!?])(?=[ \n])")
+#: A run of ASCII marks at the end of a word; after a letter the tokenizer cuts before it. An apostrophe may begin
+#: a contraction and angle brackets and bars a special token.
+TAIL = re.compile(r"[!-&(-;=?@\[-`{}~]+$")
 
 
 def words_of(text: str) -> list[bytes]:
     raw = text.encode("utf-8", "replace")
-    if b"|>" not in raw:  # special tokens are written in lower case
-        raw = raw.lower()
-    return EDGE.sub(rb" \1", raw).split()
+    return (raw if b"|>" in raw else raw.lower()).split()  # special tokens are written in lower case
+
+
+def halves(word: str) -> tuple[str, str]:
+    """A word before its last marks, and the marks; nothing where the tokenizer might not cut there."""
+    tail = TAIL.search(word)
+    if tail and tail.start():
+        before = word[tail.start() - 1]
+        if before < "\u0250" and before.isalpha():
+            return word[: tail.start()], tail[0]
+    return word, ""
 
 
 class Words(dict):
@@ -60,13 +69,21 @@ class Words(dict):
     def learn(self, words: set[bytes]) -> None:
         if len(self) > WORDS:
             self.clear()
+        new = {w: halves(w.decode()) for w in words if w not in self}
+        self.add({half.encode() for pair in new.values() for half in pair if half})
+        for word, (stem, tail) in new.items():
+            if tail:
+                self[word] = self[stem.encode()] + self[tail.encode()]
+
+    def add(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         plain = [w for w in new if MARK.encode() not in w]
         for word in set(new) - set(plain):
             self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if not plain:
             return
-        ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join([w.decode() for w in plain])], add_special_tokens=False)[0].ids, "<u4")
+        text = f" {MARK} ".join([w.decode() for w in plain])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         at, raw = 0, ids.tobytes()
         for word, cut in zip(plain, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
             self[word] = raw[4 * at : 4 * cut]
@@ -234,7 +251,8 @@ def packed(documents: DataFrame, vocabulary: str, size: int = SIZE) -> tuple[Dat
     counts = {r["length"]: r["count"] for r in rests.groupBy("length").count().collect()}  # fewer rows than size
     plan = Plan(counts, size)
     pieces = written(placed(ranked(rests.drop("ids"), counts), plan), "pack-pieces")
-    settled, cut = pieces.filter("ids_crc32 is not null"), pieces.filter("ids_crc32 is null")
+    settled = pieces.filter("ids_crc32 is not null")
+    cut = written(pieces.filter("ids_crc32 is null"), "pack-cut")  # few: with its size known, a join that leaves the ids in place
     full = whole.select("row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("row") + plan.after).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("skip"))
     return full.unionByName(settled).unionByName(with_crc(cut, tokens)), tokens
 

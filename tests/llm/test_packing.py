@@ -46,7 +46,7 @@ def checked(spark, rows, size):
 
 def some_rows():
     draw = random.Random(4)
-    words = ["one", "Two", "three,", "vier.", "cinq!?", "été", "it's", "I'LL", "x́y", "ΑΣ", "İ", "\x01", "a\x01b", "<|endoftext|>", "<|ENDOFTEXT|>", "日本語", "end.\n", "a\xa0b", "\x1c", "1234"]
+    words = ["one", "Two", "three,", "vier.", "cinq!?", "été", "it's", "I'LL", "x́y", "ΑΣ", "İ", "\x01", "a\x01b", "<|endoftext|>", "<|ENDOFTEXT|>", "日本語", "end.\n", "a\xa0b", "\x1c", "1234", "x\u0301.", "\u2026.", "ab...", "caf\u00e9,", "he's,", "don''", "a<|", "1.", "--b", "\u65e5.", "\u03a3.", "end's!", "q<|endoftext|>.", "\u01c5;", "x\u0338="]
     rows = [(i, " ".join(draw.choices(words, k=draw.randint(0, 90)))) for i in range(300)]
     return rows + [(1000, None), (1001, ""), (None, "no id here"), (1002, "long text. " * 4000), (1003, "twice"), (1003, "twice")] + [(2000 + i, "same length") for i in range(70)]
 
