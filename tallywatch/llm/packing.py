@@ -17,7 +17,6 @@ columns are ignored, whatever their names. Sequence ids are unique, but not gapl
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,9 +38,9 @@ WORDS = 800_000
 CHARS = 2_000_000
 #: A word of its own, by which new words are told apart in one call.
 MARK = "\x01"
-#: A run of ASCII marks at the end of a word; after a letter the tokenizer cuts before it. An apostrophe may begin
-#: a contraction and angle brackets and bars a special token.
-TAIL = re.compile(r"[!-&(-;=?@\[-`{}~]+$")
+#: ASCII marks that may end a word; after a letter the tokenizer cuts before them. An apostrophe may begin a
+#: contraction, and angle brackets and bars a special token.
+TAIL = rb"""!"#$%&()*+,-./:;=?@[\]^_`{}~"""
 
 
 def words_of(text: str) -> list[bytes]:
@@ -49,16 +48,6 @@ def words_of(text: str) -> list[bytes]:
     return (raw if b"|>" in raw else raw.lower()).split()  # special tokens are written in lower case
 
 
-def halves(word: str) -> tuple[str, str]:
-    """A word before its last marks, and the marks; nothing where the tokenizer might not cut there."""
-    tail = TAIL.search(word)
-    if tail and tail.start():
-        before = word[tail.start() - 1]
-        if before < "\u0250" and before.isalpha():
-            return word[: tail.start()], tail[0]
-    return word, ""
-
-
 class Words(dict):
     """Ids of words as unsigned 32-bit numbers; equal to tokenizing the whole text, for tokenizers that drop white space."""
 
@@ -69,25 +58,32 @@ class Words(dict):
     def learn(self, words: set[bytes]) -> None:
         if len(self) > WORDS:
             self.clear()
-        new = {w: halves(w.decode()) for w in words if w not in self}
-        self.add({half.encode() for pair in new.values() for half in pair if half})
-        for word, (stem, tail) in new.items():
-            if tail:
-                self[word] = self[stem.encode()] + self[tail.encode()]
-
-    def add(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        plain = [w for w in new if MARK.encode() not in w]
-        for word in set(new) - set(plain):
-            self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if not plain:
+        whole, ended = set(), []
+        for word in words.difference(self):
+            stem = word.rstrip(TAIL)
+            if stem and stem != word and 97 <= stem[-1] <= 122:
+                ended.append((word, stem, word[len(stem) :]))
+                whole.add(stem)
+                whole.add(ended[-1][2])
+            else:
+                whole.add(word)
+        self.add(list(whole.difference(self)))
+        for word, stem, tail in ended:
+            self[word] = self[stem] + self[tail]
+
+    def add(self, words: list[bytes]) -> None:
+        """Ids of new words from one call, told apart by the mark between them."""
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".encode().join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.mark)
+        if len(ends) != len(words) - 1:  # a word holds the mark
+            for word in words:
+                self[word] = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
             return
-        text = f" {MARK} ".join([w.decode() for w in plain])
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        at, raw = 0, ids.tobytes()
-        for word, cut in zip(plain, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
-            self[word] = raw[4 * at : 4 * cut]
-            at = cut + 1
+        raw = ids.tobytes()
+        stops = [*(4 * ends).tolist(), len(raw)]
+        self.update(zip(words, [raw[a:b] for a, b in zip([0, *(4 * ends + 4).tolist()], stops, strict=True)], strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         split = [words_of(t) for t in texts]
