@@ -1,196 +1,224 @@
-"""Substring dedup by hashing lines, paragraphs and runs of smaller units.
-
-A text is cut into units: at line breaks, after the sentence marks of ``BREAK`` and,
-where neither comes for ``LONG_UNIT`` words, after the next word whose checksum is a
-multiple of ``CUT_ONE_IN``, so equal passages are cut alike wherever they stand. A
-passage is a run of consecutive units of one text with ``min_words`` words or more;
-paragraphs and long lines are such runs. For each unit the shortest passage that starts
-with it and the shortest that ends with it are hashed, after white space is folded and
-A-Z lower-cased. Every unit of a longer passage lies in one of these, inside the
-passage, so nothing longer needs a digest. Of all passages with one digest the earliest
-by ``(doc_id, place in the text)`` stays, the others are removed from their texts;
-their character offsets in the original text are kept, overlapping ones joined. A
-passage that overlaps the earliest in the same text is not a copy of it.
-
-Runs of fewer than ``min_words`` repeated words are never removed, so common short
-lines stay where they are. Of a repeated passage the words before its first and after
-its last whole unit stay.
-
-Defined results: a null text stays null and has no units; a null ``doc_id`` ranks
-last; rows that repeat id and text are told apart by their own ranks, the first
-keeps its units; an empty table gives an empty result. Other columns are kept by
-``without_repeats`` and ignored by ``repeats``.
+"""Substring dedup: passages of repeated words, hashed, grouped globally, the earliest kept.
+
+A repeated passage is a run of ``min_words`` words or more (A-Z lower-cased, white space
+folded) that stands in two places. Its units are the windows of ``min_words`` words inside
+it, so lines, paragraphs and passages in running text are found alike and to the word.
+Hashing every window of every text would cost a row for each word. So first each window
+names one anchor, the last of its runs of ``ANCHOR`` words with the least hash; equal
+windows name equal anchors, about one for twenty words. Only windows whose anchor
+occurs more than once are grouped. Of all windows with one digest the earliest by
+``(doc_id, place)`` stays and the others go; a window that overlaps the earliest in the
+same text is not a copy of it. A text's removed windows are joined to spans of its own
+characters, each up to the next word that stays.
+
+Of texts that are equal as a whole only the row with the least ``doc_id`` is looked into;
+the others lose all their words, if they have ``min_words``. So a large group of copies
+costs one aggregation.
+
+Defined results: a null text stays null and has no words; texts of fewer words stay as they
+are; a null ``doc_id`` ranks last; of rows that repeat id and text one keeps its words;
+texts of any length are taken whole; an empty table gives an empty result. Other columns
+are kept by ``without_repeats``, whatever their names, and ignored by ``repeats``.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import row_key
+from tallywatch.llm.common import text_key
 from tallywatch.session import written
 
 MIN_WORDS = 50
-LONG_UNIT = 16
-CUT_ONE_IN = 8
-BREAK = re.compile(r"[.!?;:][\"')\]]*[ \t\r\f\v]+\n?|[\u3002\uff01\uff1f]|\n")
+#: Words of an anchor.
+ANCHOR = 12
+#: Windows whose anchors are sought at a time, which bounds memory in very long texts.
+STEP = 100_000
 WORD = re.compile(r"[^ \t\n\r\f\v]+")
 SPANS = "array<struct<begin:int,end:int>>"
+#: Odd multipliers of the two halves of a digest, and their inverses modulo 2^64.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def units(text: str) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Character offsets and words of each unit; the end includes the break."""
-    at = 0
-    for end in (*(m.end() for m in BREAK.finditer(text)), len(text)):
-        words = text[at:end].encode("utf-8", "replace").lower().split()
-        if len(words) > LONG_UNIT:
-            done = 0
-            for nth, m in enumerate(WORD.finditer(text, at, end), 1):
-                more = nth - done
-                if nth < len(words) and more >= LONG_UNIT and (more >= MIN_WORDS or zlib.crc32(words[nth - 1]) % CUT_ONE_IN == 0):
-                    stop = m.end() + 1
-                    yield at, stop, words[done:nth]
-                    at, done = stop, nth
-            words = words[done:]
-        if words:
-            yield at, end, words
-        at = end
-
-
-def passages(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """Character offsets and digest of the shortest passages that start or end with each unit."""
-    begins, ends, at, starts, said = [], [], [0], [0], []
-    for begin, end, words in units(text):
-        begins.append(begin)
-        ends.append(end)
-        said.append(b" ".join(words))
-        at.append(at[-1] + len(words))
-        starts.append(starts[-1] + len(said[-1]) + 1)
-    whole, found, last = b" ".join(said), set(), 0
-    for first in range(len(said)):
-        while last < len(said) and at[last] - at[first] < min_words:
-            last += 1
-        if at[last] - at[first] < min_words:
-            break
-        found.add((first, last))
-    first = 0
-    for last in range(1, len(said) + 1):
-        while at[last] - at[first + 1] >= min_words and first + 1 < last:
-            first += 1
-        if at[last] - at[first] >= min_words:
-            found.add((first, last))
-    for first, last in sorted(found):
-        yield begins[first], ends[last - 1], hashlib.blake2b(whole[starts[first] : starts[last] - 1], digest_size=16).digest()
-
-
-def passage_table(docs: DataFrame, min_words: int) -> DataFrame:
-    """``digest, doc_id, key, begin, end``."""
+def word_hashes(text: str) -> np.ndarray:
+    words = text.encode("utf-8", "replace").lower().split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def powers_of(factor: int, n: int) -> np.ndarray:
+    steps = np.full(n, factor, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+def run_digests(words: np.ndarray, size: int) -> np.ndarray:
+    """Digests of all runs of ``size`` words, 16 bytes each as two numbers: equal runs have equal ones wherever they stand."""
+    n = len(words)
+    out = np.empty((n - size + 1, 2), np.uint64)
+    for half, factor in enumerate(FACTORS):
+        mixed = words if half == 0 else (words ^ (words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = mixed ^ (mixed >> np.uint64(32))
+        powers = powers_of(factor, n)
+        back = powers_of(pow(factor, -1, 1 << 64), n - size + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers)])
+        out[:, half] = (sums[size:] - sums[:-size]) * back
+    out[:, 0] ^= out[:, 0] >> np.uint64(31)
+    return out
+
+
+def anchors(runs: np.ndarray, windows: int, span: int) -> np.ndarray:
+    """For each window the place of its anchor: of the ``span`` runs in it the last with the least hash."""
+    order = runs[:, 0] * np.uint64(0x94D049BB133111EB)
+    out = np.empty(windows, np.int64)
+    for at in range(0, windows, STEP):
+        stop = min(at + STEP, windows)
+        view = np.lib.stride_tricks.sliding_window_view(order[at : stop + span - 1], span)
+        out[at:stop] = np.arange(at, stop) + span - 1 - np.argmin(view[:, ::-1], axis=1)
+    return out
+
+
+def as_binary(digests: np.ndarray) -> pa.Array:
+    ends = pa.py_buffer(np.arange(0, 16 * len(digests) + 1, 16, dtype=np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(digests), [None, ends, pa.py_buffer(np.ascontiguousarray(digests).tobytes())])
+
+
+def table_of(found: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """Digests and places of several texts, with the other columns repeated."""
+    digests = as_binary(np.concatenate([f[0] for f in found]) if found else np.empty((0, 2), np.uint64))
+    places = pa.array(np.concatenate([f[1] for f in found]).astype(np.int32) if found else [], pa.int32())
+    sizes = [len(f[1]) for f in found]
+    rows = pa.array(np.repeat(np.arange(len(found)), sizes))
+    others = [pa.array([f[2 + i] for f in found], kind).take(rows) for i, kind in enumerate([pa.binary(), pa.bool_(), pa.int64()][: len(names) - 2])]
+    return pa.RecordBatch.from_arrays([digests, places, *others], names=names)
+
+
+def anchor_table(texts: DataFrame, min_words: int) -> DataFrame:
+    """``digest, place, key`` of every anchor of ``key, text``."""
+    size = min(ANCHOR, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (digest, doc_id, key, begin, end)
-                for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text")), strict=True)
-                for begin, end, digest in passages(text or "", min_words)
-            ]
-            columns = list(zip(*rows, strict=True)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    schema = pa.schema([("digest", pa.binary()), ("doc_id", pa.int64()), ("key", pa.binary()), ("begin", pa.int32()), ("end", pa.int32())])
-    return docs.withColumn("key", F.unhex("key")).mapInArrow(run, "digest binary, doc_id long, key binary, begin int, end int")
-
-
-def removed_spans(docs: DataFrame, min_words: int) -> DataFrame:
-    """``key, spans, all_spans``: the spans to remove from the texts of a key.
-
-    Rows that agree in id and text share a key; the first of them loses ``spans``,
-    the others ``all_spans``. Spans may overlap.
-    """
-    everything = written(passage_table(docs, min_words), "repeat-units")
-    # Most digests occur once: only the others are ranked.
-    again = written(everything.groupBy("digest").count().filter("count > 1").select("digest"), "repeat-digests")
-    found = written(everything.join(again, "digest", "left_semi"), "repeat-found")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "begin", "end")
-    first = written(found.groupBy("digest").agg(F.min(rank).alias("first")).select(
-        "digest", F.col("first.key").alias("first_key"), F.col("first.begin").alias("first_begin"), F.col("first.end").alias("first_end")
-    ), "repeat-first")
-    keeps = (F.col("key") == F.col("first_key")) & (F.col("begin") < F.col("first_end"))
-    repeated = found.join(first, "digest").select("key", "begin", "end", keeps.alias("keeps")).distinct()
-    return repeated.groupBy(F.lower(F.hex("key")).alias("key")).agg(
-        F.sort_array(F.collect_list(F.when(~F.col("keeps"), F.struct("begin", "end")))).alias("spans"),
-        F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("all_spans"),
-    )
-
-
-def joined(spans: list[dict[str, int]] | None) -> list[dict[str, int]] | None:
-    """Sorted spans as disjoint ones; those that touch become one."""
-    if spans is None:
-        return None
-    out: list[dict[str, int]] = []
-    for span in spans:
-        if out and span["begin"] <= out[-1]["end"]:
-            out[-1]["end"] = max(out[-1]["end"], span["end"])
+            found = []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = word_hashes(text or "")
+                if len(words) >= min_words:
+                    runs = run_digests(words, size)
+                    places = np.unique(anchors(runs, len(words) - min_words + 1, min_words - size + 1))
+                    found.append((runs[places], places, key))
+            yield table_of(found, ["digest", "place", "key"])
+
+    return texts.mapInArrow(run, "digest binary, place int, key binary")
+
+
+def window_table(texts: DataFrame, min_words: int) -> DataFrame:
+    """``digest, place, key, unnamed, doc_id`` of every window with one of the anchors ``hits``."""
+    size = min(ANCHOR, min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for key, doc_id, text, hits in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "text", "hits")), strict=True):
+                words = word_hashes(text)
+                named = anchors(run_digests(words, size), len(words) - min_words + 1, min_words - size + 1)
+                places = np.flatnonzero(np.isin(named, np.array(hits)))
+                found.append((run_digests(words, min_words)[places], places, key, doc_id is None, doc_id))
+            yield table_of(found, ["digest", "place", "key", "unnamed", "doc_id"])
+
+    return texts.select("key", "doc_id", "text", "hits").mapInArrow(run, "digest binary, place int, key binary, unnamed boolean, doc_id long")
+
+
+def several(found: DataFrame) -> DataFrame:
+    """Digests that stand in more than one place; equal rows count as one place."""
+    place = F.struct("key", "place")
+    return found.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("digest")
+
+
+def removed_windows(texts: DataFrame, leaders: DataFrame, min_words: int) -> DataFrame:
+    """``key, places``: the first words of the windows to remove from the leading text of a key."""
+    marked = written(anchor_table(texts.select("key", "text"), min_words), "repeat-anchors")
+    hits = marked.join(written(several(marked), "repeat-again"), "digest", "left_semi").groupBy("key").agg(F.collect_set("place").alias("hits"))
+    own = leaders.select("key", "lead").join(hits, "key")
+    looked = texts.join(own, "key").filter(F.col("doc_id").eqNullSafe(F.col("lead.doc_id")))
+    windows = written(window_table(looked, min_words), "repeat-windows")
+    rank = F.struct("unnamed", "doc_id", "key", "place")
+    first = windows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first != last")
+    first = written(first.select("digest", F.col("first.key").alias("first_key"), F.col("first.place").alias("first_place")), "repeat-first")
+    keeps = (F.col("key") == F.col("first_key")) & (F.col("place") < F.col("first_place") + min_words)
+    gone = windows.join(first, "digest").filter(~keeps)
+    return gone.groupBy("key").agg(F.collect_set("place").alias("places"))
+
+
+def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``row`` (the own columns), ``text`` (what is left) and ``spans`` (what was removed) of every document."""
+    key, doc_id = F.unhex(text_key(F.col("text"))), F.col("doc_id").cast("long")
+    texts = documents.select(key.alias("key"), doc_id.alias("doc_id"), "text")
+    each = texts.groupBy("key", "doc_id").agg(F.count("*").alias("rows"))
+    lead = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rows")
+    leaders = written(each.groupBy("key").agg(F.min(lead).alias("lead"), F.sum("rows").alias("rows")), "repeat-leaders")
+    places = written(removed_windows(texts, leaders, min_words), "repeat-places")
+    known = leaders.filter("rows > 1").join(places, "key", "full")
+    own = documents.select(key.alias("key"), doc_id.alias("own_id"), F.struct("*").alias("row"), "text").join(known, "key", "left")
+    copy = F.coalesce(F.col("rows") > 1, F.lit(False)) & ~F.col("own_id").eqNullSafe(F.col("lead.doc_id"))
+    told = own.withColumn("copy", copy).withColumn("tied", F.coalesce(F.col("lead.rows") > 1, F.lit(False)) & ~F.col("copy"))
+    single = told.filter("not tied").select("row", "text", "places", "copy")
+    # Rows that agree in id and text: the first of them leads. The numbers are stored, since a second computation might give others.
+    ordered = written(told.filter("tied").select("key", "row", "text", "places").withColumn("nth", F.monotonically_increasing_id()), "repeat-ordered")
+    first = ordered.groupBy("key").agg(F.min("nth").alias("first"))
+    tied = ordered.join(first, "key").select("row", "text", "places", (F.col("nth") > F.col("first")).alias("copy"))
+    return cut(single.unionByName(tied), min_words)
+
+
+def spans_of(text: str, places: list[int] | None, copy: bool, min_words: int) -> list[dict[str, int]]:
+    """Character spans of removed windows; an end is where the next word begins."""
+    words = [m.start() for m in WORD.finditer(text)]
+    if copy:
+        places = [*range(0, len(words) - min_words + 1, min_words), len(words) - min_words] if len(words) >= min_words else []
+    runs: list[list[int]] = []
+    for place in sorted(places or ()):
+        if runs and place <= runs[-1][1]:
+            runs[-1][1] = place + min_words
         else:
-            out.append(dict(span))
-    return out
+            runs.append([place, place + min_words])
+    return [{"begin": words[a], "end": words[b] if b < len(words) else len(text)} for a, b in runs]
 
 
-def cut(docs: DataFrame) -> DataFrame:
-    """Joins overlapping ``spans`` and replaces ``text`` by what is left outside them."""
+def cut(rows: DataFrame, min_words: int) -> DataFrame:
+    """``row, text, spans`` from ``row, text, places, copy``: the text without its removed windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, removed = [], [joined(spans) for spans in batch.column("spans").to_pylist()]
-            for text, spans in zip(batch.column("text").to_pylist(), removed, strict=True):
-                if text is not None and spans:
+            kept, removed = [], []
+            for text, places, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "places", "copy")), strict=True):
+                spans = spans_of(text, places, copy, min_words) if text and (copy or places) else []
+                if spans:
                     pieces, at = [], 0
                     for span in spans:
                         pieces.append(text[at : span["begin"]])
                         at = span["end"]
                     text = "".join([*pieces, text[at:]])
                 kept.append(text)
-            place = batch.schema.get_field_index("text")
-            batch = batch.set_column(place, batch.schema.field(place), pa.array(kept, batch.schema.field(place).type))
-            place = batch.schema.get_field_index("spans")
-            yield batch.set_column(place, batch.schema.field(place), pa.array(removed, batch.schema.field(place).type))
-
-    return docs.mapInArrow(run, docs.schema)
+                removed.append(spans)
+            kinds = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(kept, pa.string()), pa.array(removed, kinds)], names=["row", "text", "spans"])
 
-
-def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``row`` (the own columns), ``text`` (what is left) and ``spans`` (what was removed) of every document."""
-    key = row_key(F.col("doc_id"), F.col("text"))
-    spans = written(removed_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", key.alias("key")), min_words), "repeat-spans")
-    own = documents.select(key.alias("key"), F.struct("*").alias("row"), "text")
-    # Only one of the rows that share a key keeps the first occurrences.
-    shared = written(documents.select("doc_id", key.alias("key")).groupBy("key").count().filter("count > 1").select("key"), "repeat-shared")
-    alone = own.join(spans, "key", "left").join(shared.withColumn("shared", F.lit(True)), "key", "left")
-    single = alone.filter("shared is null").select("row", "text", F.col("spans").cast(SPANS).alias("spans"))
-    # The numbers are stored, since a second computation might give others.
-    ordered = written(alone.filter("shared").withColumn("nth", F.monotonically_increasing_id()), "repeat-ordered")
-    leader = ordered.groupBy("key").agg(F.min("nth").alias("leader"))
-    again = ordered.join(leader, "key").select(
-        "row", "text", F.when(F.col("nth") == F.col("leader"), F.col("spans")).otherwise(F.col("all_spans")).cast(SPANS).alias("spans")
-    )
-    return cut(single.unionByName(again))
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string, spans {SPANS}")
 
 
 def repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: ``doc_id, text, spans, n_removed``."""
     left = without_repeats(documents.select("doc_id", "text"), min_words)
-    removed = F.aggregate(F.coalesce("spans", F.array().cast(SPANS)), F.lit(0), lambda n, s: n + s["end"] - s["begin"])
-    return left.select("row.doc_id", "text", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), removed.alias("n_removed"))
+    removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["begin"])
+    return left.select("row.doc_id", "text", "spans", removed.alias("n_removed"))
 
 
 def cleaned(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with repeated units removed; ``n_chars`` follows the text, other columns stay."""
+    """The documents with repeated passages removed; ``n_chars`` follows the text, other columns stay."""
     left = without_repeats(documents, min_words)
-    names = documents.columns
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return left.select(*(new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in names))
+    return left.select(*(new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in documents.columns))
