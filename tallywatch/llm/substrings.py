@@ -94,84 +94,90 @@ def table_of(found: list[tuple], names: list[str]) -> pa.RecordBatch:
     places = pa.array(np.concatenate([f[1] for f in found]).astype(np.int32) if found else [], pa.int32())
     sizes = [len(f[1]) for f in found]
     rows = pa.array(np.repeat(np.arange(len(found)), sizes))
-    others = [pa.array([f[2 + i] for f in found], kind).take(rows) for i, kind in enumerate([pa.binary(), pa.bool_(), pa.int64()][: len(names) - 2])]
+    others = [pa.array([f[2 + i] for f in found], pa.int64()).take(rows) for i in range(len(names) - 2)]
     return pa.RecordBatch.from_arrays([digests, places, *others], names=names)
 
 
 def anchor_table(texts: DataFrame, min_words: int) -> DataFrame:
-    """``digest, place, key`` of every anchor of ``key, text``."""
+    """``digest, place, brief`` of every anchor of ``brief, text``."""
     size = min(ANCHOR, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for brief, text in zip(batch.column("brief").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = word_hashes(text or "")
                 if len(words) >= min_words:
                     runs = run_digests(words, size)
                     places = np.unique(anchors(runs, len(words) - min_words + 1, min_words - size + 1))
-                    found.append((runs[places], places, key))
-            yield table_of(found, ["digest", "place", "key"])
+                    found.append((runs[places], places, brief))
+            yield table_of(found, ["digest", "place", "brief"])
 
-    return texts.mapInArrow(run, "digest binary, place int, key binary")
+    return texts.mapInArrow(run, "digest binary, place int, brief long")
 
 
 def window_table(texts: DataFrame, min_words: int) -> DataFrame:
-    """``digest, place, key, unnamed, doc_id`` of every window with one of the anchors ``hits``."""
+    """``digest, place, rank, brief`` of every window with one of the anchors ``hits``."""
     size = min(ANCHOR, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for key, doc_id, text, hits in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "text", "hits")), strict=True):
+            for brief, rank, text, hits in zip(*(batch.column(c).to_pylist() for c in ("brief", "rank", "text", "hits")), strict=True):
                 words = word_hashes(text)
-                named = anchors(run_digests(words, size), len(words) - min_words + 1, min_words - size + 1)
-                places = np.flatnonzero(np.isin(named, np.array(hits)))
-                found.append((run_digests(words, min_words)[places], places, key, doc_id is None, doc_id))
-            yield table_of(found, ["digest", "place", "key", "unnamed", "doc_id"])
-
-    return texts.select("key", "doc_id", "text", "hits").mapInArrow(run, "digest binary, place int, key binary, unnamed boolean, doc_id long")
-
+                if len(words) >= min_words:
+                    named = anchors(run_digests(words, size), len(words) - min_words + 1, min_words - size + 1)
+                    places = np.flatnonzero(np.isin(named, np.array(hits)))
+                    found.append((run_digests(words, min_words)[places], places, rank, brief))
+            yield table_of(found, ["digest", "place", "rank", "brief"])
 
-def several(found: DataFrame) -> DataFrame:
-    """Digests that stand in more than one place; equal rows count as one place."""
-    place = F.struct("key", "place")
-    return found.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("digest")
+    return texts.select("brief", "rank", "text", "hits").mapInArrow(run, "digest binary, place int, rank long, brief long")
 
 
 def removed_windows(texts: DataFrame, leaders: DataFrame, min_words: int) -> DataFrame:
-    """``key, places``: the first words of the windows to remove from the leading text of a key."""
-    marked = written(anchor_table(texts.select("key", "text"), min_words), "repeat-anchors")
-    hits = marked.join(written(several(marked), "repeat-again"), "digest", "left_semi").groupBy("key").agg(F.collect_set("place").alias("hits"))
-    own = leaders.select("key", "lead").join(hits, "key")
-    looked = texts.join(own, "key").filter(F.col("doc_id").eqNullSafe(F.col("lead.doc_id")))
+    """``brief, rank, places``: the first words of the windows to remove from leading texts.
+
+    ``brief`` is a short digest of the text: if two texts had the same, more windows would be looked into,
+    and with the same id too they would count as one text.
+    """
+    marked = written(anchor_table(texts.select("brief", "text"), min_words), "repeat-anchors")
+    # A digest in more than one place; equal rows count as one.
+    place = F.struct("brief", "place")
+    again = marked.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("digest")
+    hits = marked.join(written(again, "repeat-again"), "digest", "left_semi").groupBy("brief").agg(F.collect_set("place").alias("hits"))
+    own = leaders.select("brief", F.col("lead").alias("rank")).join(hits, "brief")
+    looked = texts.join(own, ["brief", "rank"])
     windows = written(window_table(looked, min_words), "repeat-windows")
-    rank = F.struct("unnamed", "doc_id", "key", "place")
-    first = windows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first != last")
-    first = written(first.select("digest", F.col("first.key").alias("first_key"), F.col("first.place").alias("first_place")), "repeat-first")
-    keeps = (F.col("key") == F.col("first_key")) & (F.col("place") < F.col("first_place") + min_words)
-    gone = windows.join(first, "digest").filter(~keeps)
-    return gone.groupBy("key").agg(F.collect_set("place").alias("places"))
+    order = F.struct("rank", "brief", "place")
+    first = windows.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first != last")
+    first = written(first.select("digest", F.col("first.rank").alias("first_rank"), F.col("first.brief").alias("first_brief"), F.col("first.place").alias("first_place")), "repeat-first")
+    same_text = (F.col("rank") == F.col("first_rank")) & (F.col("brief") == F.col("first_brief"))
+    gone = windows.join(first, "digest").filter(~(same_text & (F.col("place") < F.col("first_place") + min_words)))
+    return gone.groupBy("brief", "rank").agg(F.collect_set("place").alias("places"))
 
 
 def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``row`` (the own columns), ``text`` (what is left) and ``spans`` (what was removed) of every document."""
-    key, doc_id = F.unhex(text_key(F.col("text"))), F.col("doc_id").cast("long")
-    texts = documents.select(key.alias("key"), doc_id.alias("doc_id"), "text")
-    each = texts.groupBy("key", "doc_id").agg(F.count("*").alias("rows"))
-    lead = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rows")
-    leaders = written(each.groupBy("key").agg(F.min(lead).alias("lead"), F.sum("rows").alias("rows")), "repeat-leaders")
-    places = written(removed_windows(texts, leaders, min_words), "repeat-places")
-    known = leaders.filter("rows > 1").join(places, "key", "full")
-    own = documents.select(key.alias("key"), doc_id.alias("own_id"), F.struct("*").alias("row"), "text").join(known, "key", "left")
-    copy = F.coalesce(F.col("rows") > 1, F.lit(False)) & ~F.col("own_id").eqNullSafe(F.col("lead.doc_id"))
-    told = own.withColumn("copy", copy).withColumn("tied", F.coalesce(F.col("lead.rows") > 1, F.lit(False)) & ~F.col("copy"))
-    single = told.filter("not tied").select("row", "text", "places", "copy")
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    brief = F.expr("xxhash64(coalesce(text, ''), length(text))")
+    texts = documents.select(brief.alias("brief"), rank.alias("rank"), "text")
+    whole = texts.select("brief", "rank", text_key(F.col("text")).alias("key"))
+    each = whole.groupBy("key", "brief", "rank").agg(F.count("*").alias("rows"))
+    lead = F.min(F.struct("rank", "rows")).alias("lead")
+    leaders = each.groupBy("key", "brief").agg(lead, F.sum("rows").alias("rows"))
+    leaders = written(leaders.select("key", "brief", F.col("lead.rank").alias("lead"), F.col("lead.rows").alias("lead_rows"), "rows"), "repeat-leaders")
+    places = removed_windows(texts, leaders, min_words).withColumnRenamed("rank", "lead")
+    # Only texts that lose something or have copies; the leaders' places go with their key.
+    known = leaders.join(places, ["brief", "lead"], "left").filter("rows > 1 or places is not null").drop("brief")
+    own = documents.select(F.struct("*").alias("row"), rank.alias("rank"), text_key(F.col("text")).alias("key")).join(written(known, "repeat-known"), "key", "left")
+    copy = F.coalesce((F.col("rows") > 1) & (F.col("rank") != F.col("lead")), F.lit(False))
+    told = own.withColumn("copy", copy).withColumn("tied", F.coalesce(F.col("lead_rows") > 1, F.lit(False)) & ~F.col("copy"))
+    single = told.filter("not tied").select("row", "places", "copy")
     # Rows that agree in id and text: the first of them leads. The numbers are stored, since a second computation might give others.
-    ordered = written(told.filter("tied").select("key", "row", "text", "places").withColumn("nth", F.monotonically_increasing_id()), "repeat-ordered")
+    ordered = written(told.filter("tied").select("key", "row", "places").withColumn("nth", F.monotonically_increasing_id()), "repeat-ordered")
     first = ordered.groupBy("key").agg(F.min("nth").alias("first"))
-    tied = ordered.join(first, "key").select("row", "text", "places", (F.col("nth") > F.col("first")).alias("copy"))
-    return cut(single.unionByName(tied), min_words)
+    tied = ordered.join(first, "key").select("row", "places", (F.col("nth") > F.col("first")).alias("copy"))
+    return cut(single.unionByName(tied).withColumn("text", F.col("row.text")), min_words)
 
 
 def spans_of(text: str, places: list[int] | None, copy: bool, min_words: int) -> list[dict[str, int]]:
