@@ -108,6 +108,61 @@ def stream_late(spark, sf_dir):
     return clean.select(*columns).unionByName(ingest.read_quarantine(spark, layers).select(*columns))
 
 
+def _kept(spark, layers):
+    """Clean, rejected and late rows together."""
+    clean = ingest.read_silver(spark, layers).withColumn("_quarantine_reason", F.lit(None).cast("string"))
+    columns = [*TYPED, "_quarantine_reason"]
+    return clean.select(*columns).unionByName(ingest.read_quarantine(spark, layers).select(*columns))
+
+
+def _late_loads(spark, sf_dir):
+    """Lines of two deliveries; the second holds a whole day far behind the watermark."""
+    lines = written(fixtures.feed_lines(spark, sf_dir), "lines")
+    in_time = (F.col("feed_date") <= F.lit(SPLIT_FEED)) & (F.col("feed_date") != F.lit(LATE_FEED))
+    return lines.where(in_time), lines.where(~in_time)
+
+
+def stream_restart(spark, sf_dir):
+    """The late delivery again, with a driver that stops after the clean rows are stored; the next run has no new file."""
+    layers = ingest.Layers(new_folder(spark, "layers"))
+    first, second = _late_loads(spark, sf_dir)
+    fixtures.write_feed(first, layers.feed)
+    ingest.run_update(spark, layers)
+    fixtures.write_feed(second, layers.feed)
+    ingest.run_bronze(spark, layers)
+    ingest.run_silver(spark, layers)
+    ingest.run_update(spark, layers)
+    return _kept(spark, layers)
+
+
+def stream_repeated_id(spark, sf_dir):
+    """Rows of an early day sent again as events of the last one, when the stream has forgotten their ids."""
+    layers = _streamed(spark, sf_dir)
+    lines = written(fixtures.feed_lines(spark, sf_dir), "lines")
+    days = lines.agg(F.min("feed_date").alias("first"), F.max("feed_date").alias("last")).first()
+    again = lines.where(F.col("feed_date") == F.lit(days["first"]))
+    moved = F.regexp_replace("value", str(days["first"]), str(days["last"]))
+    fixtures.write_feed(again.withColumns({"value": moved, "feed_date": F.lit(days["last"])}), layers.feed)
+    ingest.run_update(spark, layers)
+    return ingest.read_silver(spark, layers).select(*TYPED)
+
+
+def stream_expectations(spark, sf_dir):
+    """Rows checked and passed per rule, summed over the batches of two runs."""
+    counts = ingest.read_rule_counts(spark, _streamed(spark, sf_dir))
+    return counts.groupBy("rule").agg(F.sum("checked").alias("checked"), F.sum("passed").alias("passed"))
+
+
+def backfill_late_day(spark, sf_dir):
+    """The day that came behind the watermark, moved from quarantine to the clean rows."""
+    layers = ingest.Layers(new_folder(spark, "layers"))
+    for rows in _late_loads(spark, sf_dir):
+        fixtures.write_feed(rows, layers.feed)
+        ingest.run_update(spark, layers)
+    ingest.merge_late(spark, layers, [LATE_FEED])
+    return _kept(spark, layers)
+
+
 def silver_transactions(spark, sf_dir):
     return _silver(spark, sf_dir).select(*TYPED)
 
@@ -497,6 +552,10 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_quarantine": stream_quarantine,
     "stream_late": stream_late,
+    "stream_restart": stream_restart,
+    "stream_repeated_id": stream_repeated_id,
+    "stream_expectations": stream_expectations,
+    "backfill_late_day": backfill_late_day,
     "silver_transactions": silver_transactions,
     "silver_dedup_first": silver_dedup_first,
     "silver_dedup": silver_dedup,

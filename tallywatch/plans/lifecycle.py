@@ -24,7 +24,7 @@ from tallywatch.plans.registry import Registry
 from tallywatch.session import exists, written
 from tallywatch.sources.feed import read_bronze
 from tallywatch.sources.tables import VersionedTable
-from tallywatch.streaming.ingest import Layers, read_quarantine, read_silver, run_update, store_rule_counts
+from tallywatch.streaming.ingest import Layers, merge_late, read_quarantine, read_rule_counts, read_silver, run_update
 
 DAILY_DDL = (
     "txn_date DATE, txn_count BIGINT, total_amount DOUBLE, fraud_count BIGINT, "
@@ -68,13 +68,20 @@ class Warehouse:
         return VersionedTable(self.spark, self.layers.gold("gold_daily_kpis"), DAILY_DDL, "txn_date")
 
     def update(self) -> dict[str, int]:
-        """Take in new feed files, store the counts per rule and refresh the aggregates."""
+        """Take in new feed files, with their counts per rule, and refresh the aggregates."""
         counts = run_update(self.spark, self.layers, self.settings)
-        if counts:
-            store_rule_counts(self.spark, self.layers, counts)
         self.refresh_gold()
         return counts
 
+    def backfill(self, dates: list[str]) -> bool:
+        """Move the late rows of some days from quarantine to Silver and refresh what they change."""
+        if merge_late(self.spark, self.layers, dates) is None:
+            return False
+        days = self.silver().where(F.col("event_date").isin([F.lit(d).cast("date") for d in dates]))
+        self.daily.replace(written(gold.daily_kpis(days), "daily"), dates)
+        self._refresh_whole_history()
+        return True
+
     def refresh_gold(self) -> None:
         """Recompute the aggregates; for the daily one, only dates that may have changed.
 
@@ -90,6 +97,9 @@ class Warehouse:
         daily = written(gold.daily_kpis(recent), "daily")
         dates = [str(row[0]) for row in daily.select("txn_date").collect()]  # one row per day
         self.daily.replace(daily, dates)
+        self._refresh_whole_history()
+
+    def _refresh_whole_history(self) -> None:
         for name, build in WHOLE_HISTORY.items():
             build(self.silver()).write.mode("overwrite").parquet(self.layers.gold(name))
 
@@ -102,7 +112,7 @@ class Warehouse:
                 self.layers.rejected,
                 lambda p: read_quarantine(self.spark, self.layers),
             ),
-            "expectation_counts": (self.layers.rule_counts, self.spark.read.parquet),
+            "expectation_counts": (self.layers.rule_counts, lambda p: read_rule_counts(self.spark, self.layers)),
             "ml_candidate_metrics": (f"{self.root}/candidate_metrics", self.spark.read.parquet),
             "gold_daily_kpis": (self.daily.path, lambda p: self.daily.read()),
             "ml_predictions": (self.predictions.path, lambda p: self.predictions.read()),

@@ -363,6 +363,20 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT {_COLUMNS}, 'late_event' FROM checked
            WHERE ok_id AND ok_ts AND ok_customer AND ok_amount AND feed_date = DATE '2024-01-15'""",
     ),
+    "stream_restart": _sql(
+        [*_CLEAN, _REJECTED],
+        f"""SELECT {_COLUMNS}, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM silver WHERE feed_date <> DATE '2024-01-15'
+           UNION ALL SELECT {_COLUMNS}, _quarantine_reason FROM rejected
+           UNION ALL SELECT {_COLUMNS}, 'late_event' FROM checked
+           WHERE ok_id AND ok_ts AND ok_customer AND ok_amount AND feed_date = DATE '2024-01-15'""",
+    ),
+    "stream_repeated_id": _sql(_CLEAN, _SILVER_OUT),
+    "stream_expectations": _sql([_RAW, _CHECKED], f"SELECT rule, passed_rows + failed_rows AS checked, passed_rows AS passed FROM ({_RULES})"),
+    "backfill_late_day": _sql(
+        [*_CLEAN, _REJECTED],
+        f"""SELECT {_COLUMNS}, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM silver
+           UNION ALL SELECT {_COLUMNS}, _quarantine_reason FROM rejected""",
+    ),
     "silver_transactions": _sql(_CLEAN, _SILVER_OUT),
     # Both copies of a duplicate carry the same defect, so the order of the steps does not show.
     "silver_dedup_first": _sql(_CLEAN, _SILVER_OUT),
