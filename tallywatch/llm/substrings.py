@@ -94,12 +94,14 @@ def table_of(found: list[tuple], names: list[str]) -> pa.RecordBatch:
     places = pa.array(np.concatenate([f[1] for f in found]).astype(np.int32) if found else [], pa.int32())
     sizes = [len(f[1]) for f in found]
     rows = pa.array(np.repeat(np.arange(len(found)), sizes))
-    others = [pa.array([f[2 + i] for f in found], pa.int64()).take(rows) for i in range(len(names) - 2)]
+    others = [pa.array([f[2 + i] for f in found], pa.int64()).take(rows) for i in range(2 if "rank" in names else 1)]
+    if "again" in names:
+        others.append(pa.array(np.concatenate([f[3] for f in found]) if found else [], pa.bool_()))
     return pa.RecordBatch.from_arrays([digests, places, *others], names=names)
 
 
 def anchor_table(texts: DataFrame, min_words: int) -> DataFrame:
-    """``digest, place, brief`` of every anchor of ``brief, text``."""
+    """``digest, place, brief, again`` of the anchors of ``brief, text``: one row for each text and digest, ``again`` if it has several places."""
     size = min(ANCHOR, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,14 +112,15 @@ def anchor_table(texts: DataFrame, min_words: int) -> DataFrame:
                 if len(words) >= min_words:
                     runs = run_digests(words, size)
                     places = np.unique(anchors(runs, len(words) - min_words + 1, min_words - size + 1))
-                    found.append((runs[places], places, brief))
-            yield table_of(found, ["digest", "place", "brief"])
+                    _, first, times = np.unique(runs[places, 0], return_index=True, return_counts=True)
+                    found.append((runs[places[first]], places[first], brief, times > 1))
+            yield table_of(found, ["digest", "place", "brief", "again"])
 
-    return texts.mapInArrow(run, "digest binary, place int, brief long")
+    return texts.mapInArrow(run, "digest binary, place int, brief long, again boolean")
 
 
 def window_table(texts: DataFrame, min_words: int) -> DataFrame:
-    """``digest, place, rank, brief`` of every window with one of the anchors ``hits``."""
+    """``digest, place, rank, brief`` of every window with an anchor as at one of the places ``hits``."""
     size = min(ANCHOR, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +129,9 @@ def window_table(texts: DataFrame, min_words: int) -> DataFrame:
             for brief, rank, text, hits in zip(*(batch.column(c).to_pylist() for c in ("brief", "rank", "text", "hits")), strict=True):
                 words = word_hashes(text)
                 if len(words) >= min_words:
-                    named = anchors(run_digests(words, size), len(words) - min_words + 1, min_words - size + 1)
-                    places = np.flatnonzero(np.isin(named, np.array(hits)))
+                    runs, at = run_digests(words, size), np.array(hits)
+                    named = anchors(runs, len(words) - min_words + 1, min_words - size + 1)
+                    places = np.flatnonzero(np.isin(runs[named, 0], runs[at[at < len(runs)], 0]))
                     found.append((run_digests(words, min_words)[places], places, rank, brief))
             yield table_of(found, ["digest", "place", "rank", "brief"])
 
@@ -141,9 +145,8 @@ def removed_windows(texts: DataFrame, leaders: DataFrame, min_words: int) -> Dat
     and with the same id too they would count as one text.
     """
     marked = written(anchor_table(texts.select("brief", "text"), min_words), "repeat-anchors")
-    # A digest in more than one place; equal rows count as one.
-    place = F.struct("brief", "place")
-    again = marked.groupBy("digest").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").select("digest")
+    # Digests in more than one place.
+    again = marked.groupBy("digest").agg(F.min("brief").alias("low"), F.max("brief").alias("high"), F.max("again").alias("again")).filter("low != high or again").select("digest")
     hits = marked.join(written(again, "repeat-again"), "digest", "left_semi").groupBy("brief").agg(F.collect_set("place").alias("hits"))
     own = leaders.select("brief", F.col("lead").alias("rank")).join(hits, "brief")
     looked = texts.join(own, ["brief", "rank"])
