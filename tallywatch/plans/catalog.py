@@ -14,9 +14,11 @@ from tallywatch.functions.expressions import stable_round
 from tallywatch.operators import contract, dedup, evaluate, features, gold, monitoring, scoring, training
 from tallywatch.operators.upsert import upsert, upsert_into
 from tallywatch.plans import dashboard
+from tallywatch.plans.lifecycle import WHOLE_HISTORY
 from tallywatch.session import new_folder, shared_folder, written
 from tallywatch.sources import fixtures
 from tallywatch.sources.feed import read_bronze, read_feed
+from tallywatch.sources.running import RunningTable
 from tallywatch.sources.tables import VersionedTable
 from tallywatch.streaming import ingest
 
@@ -210,6 +212,28 @@ def gold_customer_profiles_orders(spark, sf_dir):
     return gold.customer_profiles(fixtures.order_transactions(spark, sf_dir))
 
 
+def _running(spark: SparkSession, txns: DataFrame, name: str) -> DataFrame:
+    """An aggregate taken in three updates; customers and merchants recur in all of them."""
+    table = RunningTable(spark, new_folder(spark, "running"), WHOLE_HISTORY[name])
+    part = F.pmod(F.dayofmonth("event_ts"), F.lit(3)).cast("string")
+    for nth in range(1, 4):
+        table.update([str(p) for p in range(nth)], lambda new: txns.where(part.isin(new)))
+    return table.read()
+
+
+def gold_running_merchants(spark, sf_dir):
+    return _running(spark, _silver_table(spark, sf_dir), "gold_merchant_stats")
+
+
+def gold_running_profiles(spark, sf_dir):
+    return _running(spark, _silver_table(spark, sf_dir), "gold_customer_profiles")
+
+
+def gold_running_profiles_orders(spark, sf_dir):
+    txns = written(fixtures.order_transactions(spark, sf_dir), "order-transactions")
+    return _running(spark, txns, "gold_customer_profiles")
+
+
 # ---- features --------------------------------------------------------------
 
 
@@ -567,6 +591,9 @@ QUERIES: dict[str, Query] = {
     "gold_daily_kpis_orders": gold_daily_kpis_orders,
     "gold_merchant_stats_orders": gold_merchant_stats_orders,
     "gold_customer_profiles_orders": gold_customer_profiles_orders,
+    "gold_running_merchants": gold_running_merchants,
+    "gold_running_profiles": gold_running_profiles,
+    "gold_running_profiles_orders": gold_running_profiles_orders,
     "merchant_risk": merchant_risk,
     "time_split": time_split,
     "features": feature_rows,

@@ -23,16 +23,17 @@ from tallywatch.operators.upsert import upsert_into
 from tallywatch.plans.registry import Registry
 from tallywatch.session import exists, written
 from tallywatch.sources.feed import read_bronze
+from tallywatch.sources.running import Aggregate, RunningTable
 from tallywatch.sources.tables import VersionedTable
-from tallywatch.streaming.ingest import Layers, merge_late, read_quarantine, read_rule_counts, read_silver, run_update
+from tallywatch.streaming.ingest import Layers, merge_late, read_quarantine, read_rule_counts, read_silver, run_update, silver_batches
 
 DAILY_DDL = (
     "txn_date DATE, txn_count BIGINT, total_amount DOUBLE, fraud_count BIGINT, "
     "fraud_amount DOUBLE, fraud_rate_pct DOUBLE, active_customers BIGINT"
 )
 WHOLE_HISTORY = {
-    "gold_merchant_stats": gold.merchant_stats,
-    "gold_customer_profiles": gold.customer_profiles,
+    "gold_merchant_stats": Aggregate(gold.merchant_totals, gold.merge_merchants, gold.merchant_rates),
+    "gold_customer_profiles": Aggregate(gold.customer_footprints, gold.merge_footprints, gold.footprint_profiles),
 }
 
 
@@ -67,6 +68,9 @@ class Warehouse:
     def daily(self) -> VersionedTable:
         return VersionedTable(self.spark, self.layers.gold("gold_daily_kpis"), DAILY_DDL, "txn_date")
 
+    def history(self, name: str) -> RunningTable:
+        return RunningTable(self.spark, self.layers.gold(name), WHOLE_HISTORY[name])
+
     def update(self) -> dict[str, int]:
         """Take in new feed files, with their counts per rule, and refresh the aggregates."""
         counts = run_update(self.spark, self.layers, self.settings)
@@ -100,8 +104,10 @@ class Warehouse:
         self._refresh_whole_history()
 
     def _refresh_whole_history(self) -> None:
-        for name, build in WHOLE_HISTORY.items():
-            build(self.silver()).write.mode("overwrite").parquet(self.layers.gold(name))
+        """Merge the Silver batches that the stored states do not cover yet."""
+        batches = silver_batches(self.spark, self.layers)
+        for name in WHOLE_HISTORY:
+            self.history(name).update(batches, lambda new: read_silver(self.spark, self.layers, new))
 
     def tables(self) -> dict[str, DataFrame]:
         """The tables that exist so far, under the names reports use."""
@@ -119,7 +125,7 @@ class Warehouse:
             "ml_monitoring_metrics": (self.monitoring.path, lambda p: self.monitoring.read()),
         }
         for name in WHOLE_HISTORY:
-            stored[name] = (self.layers.gold(name), self.spark.read.parquet)
+            stored[name] = (self.layers.gold(name), lambda p, name=name: self.history(name).read())
         found = {
             name: read(path) for name, (path, read) in stored.items() if exists(self.spark, path)
         }

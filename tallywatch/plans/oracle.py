@@ -389,6 +389,9 @@ ORACLE: dict[str, str] = {
     "gold_daily_kpis_orders": _sql([_ORDERS, _daily("purchases")], "SELECT * FROM daily"),
     "gold_merchant_stats_orders": _sql([_ORDERS, _merchants("purchases")], "SELECT * FROM merchants"),
     "gold_customer_profiles_orders": _sql([_ORDERS, _profiles("purchases")], "SELECT * FROM profiles"),
+    "gold_running_merchants": _sql([*_CLEAN, _merchants("silver")], "SELECT * FROM merchants"),
+    "gold_running_profiles": _sql([*_CLEAN, _profiles("silver")], "SELECT * FROM profiles"),
+    "gold_running_profiles_orders": _sql([_ORDERS, _profiles("purchases")], "SELECT * FROM profiles"),
     "merchant_risk": _sql(
         [*_CLEAN, _BOUND, _TRAIN_RISK],
         f"SELECT merchant_id, {_r('merchant_fraud_rate', 8)} AS merchant_fraud_rate FROM risk",

@@ -249,8 +249,14 @@ def _merged(spark: SparkSession, layers: Layers) -> list[str]:
     return [f for f in finished(spark, layers.silver) if f"/batch={LATE_LABEL}" in f]
 
 
-def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
-    return _read(spark, layers.silver, SILVER_SCHEMA)
+def silver_batches(spark: SparkSession, layers: Layers) -> list[str]:
+    """Names of the finished batches of clean rows, those of merged late rows included."""
+    return [folder.rsplit("/", 1)[1] for folder in finished(spark, layers.silver)]
+
+
+def read_silver(spark: SparkSession, layers: Layers, batches: list[str] | None = None) -> DataFrame:
+    """Clean rows; of all finished batches, or of the given ones."""
+    return _read(spark, layers.silver, SILVER_SCHEMA, None if batches is None else [f"{layers.silver}/{b}" for b in batches])
 
 
 def read_late(spark: SparkSession, layers: Layers) -> DataFrame:
