@@ -17,6 +17,7 @@ from tallywatch.plans import dashboard
 from tallywatch.plans.lifecycle import WHOLE_HISTORY
 from tallywatch.session import new_folder, shared_folder, written
 from tallywatch.sources import fixtures
+from tallywatch.sources.admission import feed_days
 from tallywatch.sources.feed import read_bronze, read_feed
 from tallywatch.sources.running import RunningTable
 from tallywatch.sources.tables import VersionedTable
@@ -165,6 +166,14 @@ def backfill_late_day(spark, sf_dir):
     return _kept(spark, layers)
 
 
+def stream_backlog(spark, sf_dir):
+    """The whole feed waiting at the first run, taken by date in groups of about a quarter of its bytes."""
+    layers = _feed(spark, sf_dir)
+    size = feed_days(spark, layers.feed).agg(F.sum("bytes")).first()[0]
+    ingest.run_update(spark, layers, replace(DEFAULTS, admitted_bytes=size // 4))
+    return _kept(spark, layers)
+
+
 def silver_transactions(spark, sf_dir):
     return _silver(spark, sf_dir).select(*TYPED)
 
@@ -580,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "stream_repeated_id": stream_repeated_id,
     "stream_expectations": stream_expectations,
     "backfill_late_day": backfill_late_day,
+    "stream_backlog": stream_backlog,
     "silver_transactions": silver_transactions,
     "silver_dedup_first": silver_dedup_first,
     "silver_dedup": silver_dedup,

@@ -377,6 +377,11 @@ ORACLE: dict[str, str] = {
         f"""SELECT {_COLUMNS}, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM silver
            UNION ALL SELECT {_COLUMNS}, _quarantine_reason FROM rejected""",
     ),
+    "stream_backlog": _sql(
+        [*_CLEAN, _REJECTED],
+        f"""SELECT {_COLUMNS}, CAST(NULL AS VARCHAR) AS _quarantine_reason FROM silver
+           UNION ALL SELECT {_COLUMNS}, _quarantine_reason FROM rejected""",
+    ),
     "silver_transactions": _sql(_CLEAN, _SILVER_OUT),
     # Both copies of a duplicate carry the same defect, so the order of the steps does not show.
     "silver_dedup_first": _sql(_CLEAN, _SILVER_OUT),

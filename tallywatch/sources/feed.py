@@ -55,7 +55,7 @@ FILE_AGE = "36500d"
 
 
 def stream_feed(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Files not seen before, each exactly once."""
+    """Files not seen before, each exactly once; ``folder`` may be a pattern that names part of the feed."""
     reader = spark.readStream.option("recursiveFileLookup", "true").option("maxFileAge", FILE_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -22,6 +22,7 @@ from tallywatch.operators.contract import BRONZE_SCHEMA, CONTRACT, SILVER_COLUMN
 from tallywatch.operators.dedup import first_arrivals
 from tallywatch.operators.skew import join_small
 from tallywatch.session import child_names, written
+from tallywatch.sources.admission import Group, feed_days, groups
 from tallywatch.sources.feed import stream_bronze, stream_feed
 from tallywatch.streaming.uniqueness import id_filters, unseen
 
@@ -45,6 +46,10 @@ class Layers:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def admitted(self) -> str:
+        return f"{self.root}/admitted_days"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver"
@@ -120,8 +125,13 @@ def _each(df: DataFrame, checkpoint: str, write) -> StreamingQuery:
     return query
 
 
-def run_bronze(spark: SparkSession, layers: Layers, max_files: int | None = None) -> StreamingQuery:
-    writer = stream_feed(spark, layers.feed, max_files).writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+def run_bronze(spark: SparkSession, layers: Layers, max_files: int | None = None, group: Group | None = None) -> StreamingQuery:
+    """Append new files of the feed, or of a group of its days.
+
+    The log of the files taken belongs to the checkpoint, whichever part of the feed a run names.
+    """
+    path = layers.feed if group is None else group.path(layers.feed)
+    writer = stream_feed(spark, path, max_files).writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     query = writer.option("checkpointLocation", layers.checkpoint("bronze")).start(layers.bronze)
     query.awaitTermination()
     return query
@@ -283,12 +293,30 @@ def read_rule_counts(spark: SparkSession, layers: Layers, batches: list[str] | N
     return _read(spark, layers.rule_counts, RULE_COUNTS, folders)
 
 
+ADMITTED = T.StructType([T.StructField("day", T.DateType())])
+
+
 def run_update(spark: SparkSession, layers: Layers, settings: Settings = DEFAULTS) -> dict[str, int]:
-    """Ingest what is new and carry it to Silver and quarantine; returns rows and passes per rule of this run."""
-    run_bronze(spark, layers)
-    run_silver(spark, layers, settings)
-    batches = run_quarantine(spark, layers)
-    run_late(spark, layers, settings)
+    """Ingest what is new and carry it to Silver and quarantine; returns rows and passes per rule of this run.
+
+    A backlog is taken by event date in groups of at most ``admitted_bytes``, or one day.
+    A day counts as admitted when all stages have taken its group; after a stop the group
+    is named again, and the checkpoints know what of it they have.
+    """
+    # one row for each day, here and below
+    sizes = {r["day"]: r["bytes"] for r in feed_days(spark, layers.feed).where("day IS NOT NULL").collect()}
+    admitted = {r["day"] for r in _read(spark, layers.admitted, ADMITTED).collect()}
+    batches: list[str] = []
+    for group in groups(sizes, admitted, settings.admitted_bytes):
+        run_bronze(spark, layers, group=group)
+        run_silver(spark, layers, settings)
+        batches += run_quarantine(spark, layers)
+        run_late(spark, layers, settings)
+        new = sorted(set(sizes if group.days is None else group.days) - admitted)
+        if new:
+            label = _label(len(finished(spark, layers.admitted)))
+            spark.createDataFrame([(day,) for day in new], ADMITTED).coalesce(1).write.mode("overwrite").parquet(f"{layers.admitted}/batch={label}")
+            admitted.update(new)
     totals = read_rule_counts(spark, layers, batches).groupBy("rule").agg(F.sum("checked").alias("checked"), F.sum("passed").alias("passed"))
     counts = {r["rule"]: r["passed"] for r in totals.collect()}  # one row for each rule
     checked = totals.agg(F.max("checked")).first()[0]
