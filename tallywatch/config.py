@@ -31,6 +31,7 @@ class Settings:
     hot_group_rows: int = 1_000_000
     max_broadcast_rows: int = 500_000
     bucket_rows: int = 100_000
+    prefix_fanout: int = 1_000
     admitted_bytes: int = 1 << 38
 
 

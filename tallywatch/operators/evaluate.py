@@ -7,11 +7,14 @@ evaluated in one pass over the same rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS, Settings
 from tallywatch.functions.expressions import ratio
+from tallywatch.operators.prefix import sums_before
 from tallywatch.session import written
 
 
@@ -22,14 +25,17 @@ def class_weights(rows: DataFrame) -> DataFrame:
     return rows.withColumn("weight", F.when(F.col("is_fraud") == 1, weight).otherwise(1.0))
 
 
-def _score_buckets(counts: DataFrame, settings: Settings) -> DataFrame:
-    """Add ``bucket``, which rises as a model's scores fall; a bucket holds about ``bucket_rows`` scores.
+def _score_buckets(counts: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """Add ``bucket``, which rises as a model's scores fall, and give the number of buckets.
 
-    The rows are dealt by range and stored, so every reader sees the same buckets.
+    A bucket holds about ``bucket_rows`` scores; beyond the square of that many scores it
+    holds more, so that there are never more buckets than scores in one. The rows are
+    dealt by range and stored, so every reader sees the same buckets.
     """
-    buckets = 1 + counts.count() // settings.bucket_rows
+    rows = counts.count()
+    buckets = 1 + min(rows // settings.bucket_rows, math.isqrt(rows))
     dealt = counts.repartitionByRange(buckets, "model", F.desc("fraud_score"))
-    return written(dealt.withColumn("bucket", F.spark_partition_id()), "score-buckets")
+    return written(dealt.withColumn("bucket", F.spark_partition_id()), "score-buckets"), buckets
 
 
 def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -37,7 +43,7 @@ def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFra
 
     A running total over all scores would need one task. Scores are counted,
     dealt by range to as many buckets as their number asks for, and summed inside
-    each bucket; the totals of the buckets above, a row each, are added to that.
+    each bucket; the totals of the buckets above come from a tree of partial totals.
     """
     counts = written(
         scored.where(F.col("fraud_score").isNotNull())
@@ -48,27 +54,19 @@ def threshold_curve(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFra
         ),
         "score-counts",
     )
-    counts = _score_buckets(counts, settings)
-    model = Window.partitionBy("model")
-    above = model.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.groupBy("model", "bucket").agg(
-        F.sum("pos").alias("bucket_pos"), F.sum("neg").alias("bucket_neg")
-    ).select(
-        "model",
-        "bucket",
-        F.coalesce(F.sum("bucket_pos").over(above), F.lit(0)).alias("pos_above"),
-        F.coalesce(F.sum("bucket_neg").over(above), F.lit(0)).alias("neg_above"),
-        F.sum("bucket_pos").over(model).alias("positives"),
-        F.sum("bucket_neg").over(model).alias("negatives"),
-    )
+    counts, buckets = _score_buckets(counts, settings)
+    totals = counts.groupBy("model", "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    whole = totals.groupBy("model").agg(F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
+    offsets = sums_before(totals, ["model"], "bucket", ["pos", "neg"], buckets, settings.prefix_fanout).drop("pos", "neg")
     inside = (
         Window.partitionBy("model", "bucket")
         .orderBy(F.desc("fraud_score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     summed = counts.select("*", F.sum("pos").over(inside).alias("pos_inside"), F.sum("neg").over(inside).alias("neg_inside"))
-    # the window has dealt the rows by the columns of this join
-    return summed.join(offsets, ["model", "bucket"]).select(
+    # the window has dealt the rows by the columns of the first join; the second side has one row
+    # for each model that the caller compares
+    return summed.join(offsets, ["model", "bucket"]).join(F.broadcast(whole), "model").select(
         "model",
         "fraud_score",
         "pos",

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS
 from tallywatch.functions.expressions import stable_round
-from tallywatch.operators import contract, dedup, evaluate, features, gold, monitoring, scoring, training
+from tallywatch.operators import contract, dedup, evaluate, features, gold, monitoring, observed, scoring, training
 from tallywatch.operators.upsert import upsert, upsert_into
 from tallywatch.plans import dashboard
 from tallywatch.plans.lifecycle import WHOLE_HISTORY
 from tallywatch.session import new_folder, shared_folder, written
 from tallywatch.sources import fixtures
 from tallywatch.sources.admission import feed_days
-from tallywatch.sources.feed import read_bronze, read_feed
+from tallywatch.sources.feed import read_bronze, read_feed, read_lines
 from tallywatch.sources.running import RunningTable
 from tallywatch.sources.tables import VersionedTable
 from tallywatch.streaming import ingest
@@ -78,6 +78,10 @@ def bronze_rescued(spark, sf_dir):
     return rows.where("_rescued_data IS NOT NULL").select("transaction_id", "amount", "_rescued_data")
 
 
+def feed_types(spark, sf_dir):
+    return observed.observed_types(read_lines(spark, _feed(spark, sf_dir).feed))
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> ingest.Layers:
     """Two incremental runs: most days first, the last days after them."""
     layers = ingest.Layers(new_folder(spark, "layers"))
@@ -582,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "bronze_batch": bronze_batch,
     "bronze_rescued": bronze_rescued,
+    "feed_types": feed_types,
     "stream_silver": stream_silver,
     "stream_quarantine": stream_quarantine,
     "stream_late": stream_late,

@@ -341,6 +341,29 @@ SELECT * FROM ({_sql([_BASELINE, _drift('preds')], _METRICS)})
 UNION ALL
 SELECT * FROM ({_sql([_BASELINE, _drift('second_load')], _METRICS)})"""
 
+
+
+def _field(name: str, contract: str, merged: str, texts: str = "0", numbers: str = "0", integers: str = "0", misfits: str = "0") -> str:
+    return f"""SELECT '{name}' AS field, {contract} AS contract, '{merged}' AS merged, {integers} AS integers, {numbers} AS numbers,
+      {texts} AS texts, 0 AS booleans, 0 AS nested, 0 AS nulls, {misfits} AS misfits FROM raw"""
+
+
+_WORDS = "transaction_id customer_id merchant_id merchant_category currency country device_id channel fraud_type".split()
+_AS_TEXT = "count(*) FILTER (event_id % 337 = 3 OR (event_id % 13 = 4 AND amount IS NOT NULL))"
+_PROMO = "count(*) FILTER (event_id % 307 = 0)"
+_FIELD_TYPES = " UNION ALL ".join(
+    [_field(name, "'string'", "text", texts=f"count({name})") for name in _WORDS]
+    + [
+        _field("event_ts", "'timestamp'", "text", texts="count(event_ts)"),
+        _field(
+            "amount", "'double'", "text", texts=_AS_TEXT, misfits="count(*) FILTER (event_id % 337 = 3)",
+            numbers="count(*) FILTER (event_id % 337 <> 3 AND event_id % 13 <> 4 AND amount IS NOT NULL)",
+        ),
+        _field("is_fraud", "'int'", "integer", integers="count(is_fraud)"),
+        _field("promo_code", "NULL", "text", texts=_PROMO, misfits=_PROMO),
+    ]
+)
+
 _SILVER_OUT = f"SELECT {_COLUMNS} FROM silver"
 
 ORACLE: dict[str, str] = {
@@ -354,6 +377,7 @@ ORACLE: dict[str, str] = {
              AS _rescued_data
            FROM raw WHERE event_id % 337 = 3 OR event_id % 307 = 0""",
     ),
+    "feed_types": _sql([_RAW], _FIELD_TYPES),
     "stream_silver": _sql(_CLEAN, _SILVER_OUT),
     "stream_quarantine": _sql(_BAD, f"SELECT {_COLUMNS}, _quarantine_reason FROM rejected"),
     "stream_late": _sql(

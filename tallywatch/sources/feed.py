@@ -45,7 +45,11 @@ def parse(lines: DataFrame) -> DataFrame:
 
 def read_feed(spark: SparkSession, folder: str) -> DataFrame:
     """The whole feed at once: for a backfill or a rebuild."""
-    return parse(spark.read.option("recursiveFileLookup", "true").text(folder))
+    return parse(read_lines(spark, folder))
+
+
+def read_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", "true").text(folder)
 
 
 #: Files count however old they are beside the newest one; the source's own limit of

@@ -44,7 +44,7 @@ def test_metrics_match_brute_force(spark, buckets):
     }
     data = [(m, f"{m}{i}", y, s) for m, rows in pairs.items() for i, (y, s) in enumerate(rows)]
     frame = spark.createDataFrame(data, SCORED)
-    small = replace(DEFAULTS, bucket_rows=buckets, max_daily_alerts=10)
+    small = replace(DEFAULTS, bucket_rows=buckets, prefix_fanout=3, max_daily_alerts=10)
     got = {r["model"]: r for r in evaluate.evaluate(frame, small).collect()}
     for model, rows in pairs.items():
         want = brute_metrics(rows)
