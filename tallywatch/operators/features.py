@@ -61,30 +61,41 @@ def build_features(
     ``hot_customers`` may name the customers too large for one task if a profile
     table already has the counts; otherwise they are counted here.
     """
+    rated = lookup(
+        history(txns, settings, hot_customers), risk, "merchant_id", F.col("transaction_id"), settings, count_on=txns
+    )
+    return derived(rated, txns.columns, settings)
+
+
+def history(txns: DataFrame, settings: Settings = DEFAULTS, hot_customers: DataFrame | None = None) -> DataFrame:
+    """``txns`` with what each row's customer did before it, in columns that begin with an underscore."""
     if hot_customers is None:
         hot_customers = written(heavy_keys(txns, "customer_id", settings), "hot-customers")
     if hot_customers.isEmpty():
-        history = _windowed(_keyed(txns))
-    else:
-        hot = hot_customers.select("customer_id")
-        history = _windowed(_keyed(txns.join(hot, "customer_id", "left_anti"))).unionByName(
-            _decomposed(_keyed(txns.join(hot, "customer_id", "left_semi")))
-        )
-    rated = lookup(
-        history, risk, "merchant_id", F.col("transaction_id"), settings, count_on=txns
-    )
-    return _derive(rated, settings).select(
-        *txns.columns, *[c for c in FEATURE_COLS if c not in txns.columns]
+        return _windowed(keyed(txns))
+    hot = hot_customers.select("customer_id")
+    return _windowed(keyed(txns.join(hot, "customer_id", "left_anti"))).unionByName(
+        _decomposed(keyed(txns.join(hot, "customer_id", "left_semi")))
     )
 
 
-def _keyed(txns: DataFrame) -> DataFrame:
+def derived(rated: DataFrame, columns: list[str], settings: Settings = DEFAULTS) -> DataFrame:
+    """The given columns and the features, from history and merchant risk."""
+    return _derive(rated, settings).select(*columns, *[c for c in FEATURE_COLS if c not in columns])
+
+
+def keyed(txns: DataFrame) -> DataFrame:
     """Add the order of history: whole seconds, then the tie key."""
     return txns.withColumns(
         {"_sec": epoch_seconds(F.col("event_ts")), "_tie": tie_key(F.col("transaction_id"))}
     )
 
 
+def device_key() -> Column:
+    """The device as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("+"), "device_id"), F.lit("-"))
+
+
 def _windowed(rows: DataFrame) -> DataFrame:
     """History by windows over whole customers: one shuffle serves all of them."""
     customer = Window.partitionBy("customer_id")
@@ -118,8 +129,7 @@ def _decomposed(rows: DataFrame) -> DataFrame:
 
     The sums feed several branches, so they are stored.
     """
-    device = F.coalesce(F.concat(F.lit("+"), "device_id"), F.lit("-"))
-    rows = rows.withColumns({"_slice": tie_slice(F.col("_tie"), SLICE_BITS), "_device": device})
+    rows = rows.withColumns({"_slice": tie_slice(F.col("_tie"), SLICE_BITS), "_device": device_key()})
     slices = rows.groupBy("customer_id", "_sec", "_slice").agg(
         F.count("*").alias("rows"),
         F.count("amount").alias("n"),

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS, Settings
+from tallywatch.operators.dates import between_dates, on_date
+from tallywatch.operators.daystate import DayStates, day_features
 from tallywatch.operators.features import build_features
 from tallywatch.session import written
 
@@ -39,21 +41,6 @@ def resolve_date(rows: DataFrame, date: str = "auto") -> dt.date:
     return latest
 
 
-def between_dates(rows: DataFrame, after: dt.date | None, until: dt.date) -> DataFrame:
-    """Rows with ``after`` < event date <= ``until``; uses a date partition if there is one."""
-    columns = ["event_ts"] + (["event_date"] if "event_date" in rows.columns else [])
-    for name in columns:
-        day = F.to_date(name)
-        rows = rows.where(day <= F.lit(until))
-        if after is not None:
-            rows = rows.where(day > F.lit(after))
-    return rows
-
-
-def on_date(rows: DataFrame, date: dt.date) -> DataFrame:
-    return between_dates(rows, date - dt.timedelta(days=1), date)
-
-
 def scoring_features(
     txns: DataFrame, risk: DataFrame, date: dt.date, settings: Settings = DEFAULTS
 ) -> DataFrame:
@@ -105,11 +92,19 @@ def batch_score(
     date: str = "auto",
     scored_at: Column | None = None,
     settings: Settings = DEFAULTS,
+    states: DayStates | None = None,
 ) -> DataFrame:
-    """Predictions for one day; fails if the day has no transactions."""
+    """Predictions for one day; fails if the day has no transactions.
+
+    With ``states`` of the days before, only the rows of two days are read.
+    """
     day = resolve_date(txns, date)
+    if states is None:
+        rows = scoring_features(txns, risk, day, settings)
+    else:
+        rows = day_features(txns, states, risk, day, settings)
     scored = written(
-        scorer(scoring_features(txns, risk, day, settings)).select(
+        scorer(rows).select(
             "transaction_id", "event_ts", "customer_id", "amount", "fraud_score"
         ),
         "scored",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.config import DEFAULTS
 from tallywatch.functions.expressions import stable_round
-from tallywatch.operators import contract, dedup, evaluate, features, gold, monitoring, observed, scoring, training
+from tallywatch.operators import contract, daystate, dedup, evaluate, features, gold, monitoring, observed, scoring, training
 from tallywatch.operators.upsert import upsert, upsert_into
 from tallywatch.plans import dashboard
 from tallywatch.plans.lifecycle import WHOLE_HISTORY
@@ -397,6 +397,21 @@ def batch_score_backfill(spark, sf_dir):
     return _batch(spark, sf_dir, fixtures.points, BACKFILL_DATE)
 
 
+def _day_batch(spark: SparkSession, sf_dir: str, date: str) -> DataFrame:
+    txns = _silver_table(spark, sf_dir)
+    states = daystate.DayStates(written(daystate.customer_days(txns), "customer-days"), written(daystate.device_days(txns), "device-days"))
+    risk = _risk_table(_train_rows(txns))
+    return scoring.batch_score(txns, risk, fixtures.points, 1, date, _scored_at(), states=states)
+
+
+def batch_score_daystate(spark, sf_dir):
+    return _day_batch(spark, sf_dir, "auto")
+
+
+def batch_score_daystate_backfill(spark, sf_dir):
+    return _day_batch(spark, sf_dir, BACKFILL_DATE)
+
+
 def batch_score_budget(spark, sf_dir):
     return _predictions(_silver(spark, sf_dir), CARDS["card_a"], 1, SMALL_BUDGET)
 
@@ -624,6 +639,8 @@ QUERIES: dict[str, Query] = {
     "batch_score_alerts": batch_score_alerts,
     "batch_score_points": batch_score_points,
     "batch_score_backfill": batch_score_backfill,
+    "batch_score_daystate": batch_score_daystate,
+    "batch_score_daystate_backfill": batch_score_daystate_backfill,
     "batch_score_budget": batch_score_budget,
     "upsert_predictions": upsert_predictions,
     "upsert_rows": upsert_rows,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallywatch.config import DEFAULTS, Settings
 from tallywatch.operators import gold
 from tallywatch.operators.contract import quarantine, typed
+from tallywatch.operators.daystate import CUSTOMER_DAYS_DDL, DEVICE_DAYS_DDL, DayStates, customer_days, device_days
 from tallywatch.operators.dedup import silver as clean
 from tallywatch.operators.evaluate import evaluate, promotion_gate
 from tallywatch.operators.features import FEATURE_COLS, build_features, merchant_risk, split_bounds, time_split
@@ -68,6 +69,20 @@ class Warehouse:
     def daily(self) -> VersionedTable:
         return VersionedTable(self.spark, self.layers.gold("gold_daily_kpis"), DAILY_DDL, "txn_date")
 
+    @property
+    def customer_days(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/customer_days", CUSTOMER_DAYS_DDL, "event_date")
+
+    @property
+    def device_days(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/device_days", DEVICE_DAYS_DDL, "event_date")
+
+    def day_states(self) -> DayStates | None:
+        """States for scoring; none in a warehouse that has not been refreshed since they exist."""
+        if not self.device_days.partitions():
+            return None
+        return DayStates(self.customer_days.read(), self.device_days.read())
+
     def history(self, name: str) -> RunningTable:
         return RunningTable(self.spark, self.layers.gold(name), WHOLE_HISTORY[name])
 
@@ -79,12 +94,13 @@ class Warehouse:
 
     def backfill(self, dates: list[str]) -> bool:
         """Move the late rows of some days from quarantine to Silver and refresh what they change."""
-        if merge_late(self.spark, self.layers, dates) is None:
-            return False
+        merged = merge_late(self.spark, self.layers, dates) is not None
         days = self.silver().where(F.col("event_date").isin([F.lit(d).cast("date") for d in dates]))
+        # also without new rows: a run may have stopped after the merge
         self.daily.replace(written(gold.daily_kpis(days), "daily"), dates)
+        self._replace_states(days, dates)
         self._refresh_whole_history()
-        return True
+        return merged
 
     def refresh_gold(self) -> None:
         """Recompute the aggregates; for the daily one, only dates that may have changed.
@@ -93,16 +109,26 @@ class Warehouse:
         delay, so after a refresh that reached some date, only dates from that
         delay before it can still change.
         """
-        recent = self.silver()
-        done = self.daily.partitions()
-        if done:
-            since = dt.date.fromisoformat(done[-1]) - dt.timedelta(days=self.settings.watermark_days)
-            recent = recent.where(F.col("event_date") >= F.lit(since))
+        recent = self._may_have_changed(self.daily.partitions())
         daily = written(gold.daily_kpis(recent), "daily")
         dates = [str(row[0]) for row in daily.select("txn_date").collect()]  # one row per day
         self.daily.replace(daily, dates)
+        recent = self._may_have_changed(self.device_days.partitions())
+        self._replace_states(recent, [str(row[0]) for row in recent.select("event_date").distinct().collect()])  # one row per day
         self._refresh_whole_history()
 
+    def _may_have_changed(self, done: list[str]) -> DataFrame:
+        """Clean rows of the dates from the watermark's delay before the last date done."""
+        if not done:
+            return self.silver()
+        since = dt.date.fromisoformat(done[-1]) - dt.timedelta(days=self.settings.watermark_days)
+        return self.silver().where(F.col("event_date") >= F.lit(since))
+
+    def _replace_states(self, days: DataFrame, dates: list[str]) -> None:
+        # devices last: their dates say how far both tables are
+        self.customer_days.replace(customer_days(days), dates)
+        self.device_days.replace(device_days(days), dates)
+
     def _refresh_whole_history(self) -> None:
         """Merge the Silver batches that the stored states do not cover yet."""
         batches = silver_batches(self.spark, self.layers)
@@ -238,6 +264,7 @@ class Warehouse:
             version,
             date,
             settings=self.settings,
+            states=self.day_states(),
         ).withColumn("event_date", F.to_date("event_ts"))
         return upsert_into(
             self.predictions, written(batch, "batch"), ["transaction_id"], keys_move

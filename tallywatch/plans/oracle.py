@@ -451,6 +451,8 @@ ORACLE: dict[str, str] = {
     "batch_score_alerts": _sql(_batch(_score(7919), _LAST_DATE), "SELECT * FROM preds"),
     "batch_score_points": _sql(_batch(_POINTS, _LAST_DATE), "SELECT * FROM preds"),
     "batch_score_backfill": _sql(_batch(_POINTS, "DATE '2024-01-15'"), "SELECT * FROM preds"),
+    "batch_score_daystate": _sql(_batch(_POINTS, _LAST_DATE), "SELECT * FROM preds"),
+    "batch_score_daystate_backfill": _sql(_batch(_POINTS, "DATE '2024-01-15'"), "SELECT * FROM preds"),
     "batch_score_budget": _sql(
         [*_CLEAN, _alerted("preds", "silver", _score(7919), 1, 40)], "SELECT * FROM preds"
     ),
