@@ -73,6 +73,17 @@ def bronze_batch(spark, sf_dir):
     return contract.typed(read_feed(spark, _feed(spark, sf_dir).feed)).select(*TYPED)
 
 
+def bronze_lineage(spark, sf_dir):
+    """Rows per feed date, as the path of the file says that each row keeps, and rows with a time of ingestion in the past."""
+    layers = _feed(spark, sf_dir)
+    ingest.run_bronze(spark, layers)
+    date = F.regexp_extract("_source_file", "/feed_date=([^/]+)/", 1).cast("date")
+    return read_bronze(spark, layers.bronze).groupBy(date.alias("feed_date")).agg(
+        F.count("*").alias("landed_rows"),
+        F.count_if(F.col("_ingested_at") <= F.current_timestamp()).alias("stamped_rows"),
+    )
+
+
 def bronze_rescued(spark, sf_dir):
     rows = contract.typed(read_feed(spark, _feed(spark, sf_dir).feed))
     return rows.where("_rescued_data IS NOT NULL").select("transaction_id", "amount", "_rescued_data")
@@ -600,6 +611,7 @@ def train_score_gbt(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "bronze_batch": bronze_batch,
+    "bronze_lineage": bronze_lineage,
     "bronze_rescued": bronze_rescued,
     "feed_types": feed_types,
     "stream_silver": stream_silver,

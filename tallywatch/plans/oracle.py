@@ -369,6 +369,7 @@ _SILVER_OUT = f"SELECT {_COLUMNS} FROM silver"
 ORACLE: dict[str, str] = {
     "bronze_ingest": _sql([_RAW], f"SELECT {_COLUMNS} FROM raw"),
     "bronze_batch": _sql([_RAW], f"SELECT {_COLUMNS} FROM raw"),
+    "bronze_lineage": _sql([_RAW], "SELECT feed_date, count(*) AS landed_rows, count(*) AS stamped_rows FROM raw GROUP BY 1"),
     "bronze_rescued": _sql(
         [_RAW],
         """SELECT transaction_id, amount, '{' || concat_ws(',',
