@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.operators.evaluate import class_weights
@@ -51,18 +51,55 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=FEATURE_COLS, outputCol="raw_features")
 
 
+def class_counts(train: DataFrame) -> tuple[int, int]:
+    counts = train.agg(F.count("*").alias("n"), F.sum("is_fraud").alias("pos")).first()
+    if not counts["pos"] or counts["pos"] == counts["n"]:
+        raise ValueError("training rows must hold both classes")
+    return counts["n"], counts["pos"]
+
+
+def balanced_weight(rows: int, positives: int) -> Column:
+    """Weight of a row that gives both classes the same total."""
+    return F.when(F.col("is_fraud") == 1, rows / (2.0 * positives)).otherwise(rows / (2.0 * (rows - positives)))
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame) -> DataFrame:
+    """Gradient of the penalised, weighted loss at the model's coefficients: a row per input and one for the intercept.
+
+    It is computed from rows, coefficients and the logistic function alone, and is near
+    zero where the learner has found the optimum; ``start`` is the gradient of the loss
+    at all-zero coefficients, to compare with.
+    """
+    fitted = model.stages[-1]
+    rows, positives = class_counts(train)
+    scaled = model_inputs(train).withColumn("weight", balanced_weight(rows, positives))
+    for stage in model.stages[:-1]:
+        scaled = stage.transform(scaled)
+    x = [vector_to_array("features")[i] for i in range(len(FEATURE_COLS))]
+    margin = F.lit(float(fitted.intercept))
+    for value, beta in zip(x, fitted.coefficients, strict=True):
+        margin = margin + value * float(beta)
+    label, weight = F.col("is_fraud").cast("double"), F.col("weight")
+    error, blank = 1 / (1 + F.exp(-margin)) - label, F.lit(0.5) - label
+    terms = [*zip(FEATURE_COLS, x, fitted.coefficients, strict=True), ("intercept", F.lit(1.0), 0.0)]
+    found = [
+        F.struct(
+            F.lit(name).alias("term"),
+            (F.sum(weight * error * value) / F.sum(weight) + fitted.getRegParam() * float(beta)).alias("gradient"),
+            (F.sum(weight * blank * value) / F.sum(weight)).alias("start"),
+        )
+        for name, value, beta in terms
+    ]
+    return scaled.agg(F.array(*found).alias("terms")).select(F.inline("terms"), F.lit(rows).cast("long").alias("train_rows"), F.lit(positives).cast("long").alias("positives"))
+
+
 def fit_logistic(train: DataFrame, plan: TrainingPlan = TrainingPlan()) -> PipelineModel:
     """Standardised, class-balanced logistic regression.
 
     Balanced weights sum to the row count, so the penalty per row is 1 / (C n).
     """
-    counts = train.agg(F.count("*").alias("n"), F.sum("is_fraud").alias("pos")).first()
-    rows, positives = counts["n"], counts["pos"]
-    if not positives or positives == rows:
-        raise ValueError("training rows must hold both classes")
-    balanced = F.when(F.col("is_fraud") == 1, rows / (2.0 * positives)).otherwise(
-        rows / (2.0 * (rows - positives))
-    )
+    rows, positives = class_counts(train)
+    balanced = balanced_weight(rows, positives)
     stages = [
         _assembler(),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),

@@ -608,6 +608,19 @@ def train_score_gbt(spark, sf_dir):
     return _trained(spark, sf_dir, training.fit_boosted, training.BOOSTED)
 
 
+#: Gradients at the start are between 0.01 and 1; at the optimum they are far below this.
+NO_GRADIENT = 1e-5
+
+
+def train_logreg_optimum(spark, sf_dir):
+    """Whether the loss has no gradient left at the fitted coefficients, per term."""
+    txns = _silver_table(spark, sf_dir)
+    rows = features.time_split(features.build_features(txns, _risk_table(_train_rows(txns))), features.split_bounds(txns))
+    train = written(rows.where("split = 'train'"), "features")
+    terms = training.logistic_gradient(training.fit_logistic(train), train)
+    return terms.select("term", (F.abs("gradient") < NO_GRADIENT).alias("optimal"), "train_rows", "positives")
+
+
 QUERIES: dict[str, Query] = {
     "bronze_ingest": bronze_ingest,
     "bronze_batch": bronze_batch,
@@ -675,6 +688,7 @@ QUERIES: dict[str, Query] = {
     "dash_12": dash_12,
     "runbook_quarantine_day": runbook_quarantine_day,
     "star_fraud_by_month": star_fraud_by_month,
+    "train_logreg_optimum": train_logreg_optimum,
     "train_score_logreg": train_score_logreg,
     "train_score_gbt": train_score_gbt,
 }

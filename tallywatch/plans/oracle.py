@@ -344,10 +344,13 @@ SELECT * FROM ({_sql([_BASELINE, _drift('second_load')], _METRICS)})"""
 
 
 def _field(name: str, contract: str, merged: str, texts: str = "0", numbers: str = "0", integers: str = "0", misfits: str = "0") -> str:
-    return f"""SELECT '{name}' AS field, {contract} AS contract, '{merged}' AS merged, {integers} AS integers, {numbers} AS numbers,
-      {texts} AS texts, 0 AS booleans, 0 AS nested, 0 AS nulls, {misfits} AS misfits FROM raw"""
+    return f"""SELECT '{name}' AS field, {contract} AS contract, '{merged}' AS merged, {_big(integers)} AS integers, {_big(numbers)} AS numbers,
+      {_big(texts)} AS texts, {_big('0')} AS booleans, {_big('0')} AS nested, {_big('0')} AS nulls, {_big(misfits)} AS misfits FROM raw"""
 
 
+# Names of the model inputs.
+_TERMS = ("amount log_amount hour is_night is_online is_foreign is_new_device txn_count_1h txn_count_24h amount_over_avg "
+          "seconds_since_prev_txn merchant_fraud_rate intercept").split()
 _WORDS = "transaction_id customer_id merchant_id merchant_category currency country device_id channel fraud_type".split()
 _AS_TEXT = "count(*) FILTER (event_id % 337 = 3 OR (event_id % 13 = 4 AND amount IS NOT NULL))"
 _PROMO = "count(*) FILTER (event_id % 307 = 0)"
@@ -556,4 +559,10 @@ ORACLE: dict[str, str] = {
               {_r('sum(amount)', 2)} AS fraud_amount
             FROM silver WHERE is_fraud = 1 AND merchant_id IS NOT NULL GROUP BY 1, 2""",
     ),
+    "train_logreg_optimum": _sql(
+        [*_CLEAN, _BOUND],
+        f"""SELECT term, TRUE AS optimal, train_rows, positives
+           FROM (SELECT unnest({_TERMS}) AS term), (SELECT count(*) AS train_rows, {_big('sum(is_fraud)')} AS positives
+             FROM silver WHERE CAST(event_ts AS DATE) <= (SELECT split_date FROM bound))""",
+    ),
 }
