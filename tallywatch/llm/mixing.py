@@ -4,11 +4,14 @@ Each source's documents, shuffled by a digest of their id, form a stream of
 tokens that is cut into equal blocks. Slot ``k`` of the schedule takes the point
 ``frac((k + 1) / golden ratio)``; mapped through the cumulative weights it names a
 source, and its rank among that source's slots names the block. A source whose
-stream is used up starts again at its first block, up to twice.
+stream is used up starts again at its first block, up to twice. A document's
+``first_slot`` is that of the first block that holds any of its words: read in this order,
+every prefix of the mix has its sources near their shares.
 
 Defined results: a null text has size 0; a null source is a source of its own and
 comes last; repeated rows are documents of their own; an empty table gives an
-empty result; a document of size 0 is taken 0 times. Other columns are ignored,
+empty result; a document of size 0 is taken 0 times and, like all others of which
+nothing is taken, has the first slot -1. Other columns are ignored,
 so their names cannot clash.
 """
 
@@ -128,7 +131,7 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for every document."""
+    """``doc_id, source, size, source_size, target, taken, first_slot`` for every document."""
     sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = written(
         source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))),
@@ -153,14 +156,14 @@ def mix(docs: DataFrame) -> DataFrame:
     took = (
         pieces.join(slots, ["sid", "block"])
         .groupBy("sid", "start")
-        .agg(F.sum(F.least("end", "last") - F.greatest("begin", "first")).alias("taken"))
+        .agg(F.sum(F.least("end", "last") - F.greatest("begin", "first")).alias("taken"), F.min("slot").alias("first_slot"))
     )
     result = ["doc_id", "source", "size", "source_size", "target"]
     # A document of some size is alone at its position; those of size 0 are never taken.
     return (
         stream.withColumn("at", F.when(F.col("size") > 0, F.col("start")))
         .join(took.withColumnRenamed("start", "at"), ["sid", "at"], "left")
-        .select(*result, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select(*result, F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot"))
     )
 
 
@@ -183,12 +186,23 @@ WITH d AS (
       / (sum(weight) OVER () - coalesce(sum(weight) FILTER (capped) OVER (), 0))) END AS target
   FROM c
 ), p AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+  SELECT d.doc_id, d.size, t.sid, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
     coalesce(sum(d.size) OVER (PARTITION BY t.sid ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), n AS (
+  SELECT ceil(sum(floor(target + 0.5)) / 2048)::BIGINT AS slots FROM t
+), h AS (
+  SELECT sid, sum(target) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) / sum(target) OVER () AS high FROM t
+), b AS (
+  SELECT sid, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low, high FROM h
+), k AS (
+  SELECT slot, (slot + 1) * 0.6180339887498949::DOUBLE % 1 AS point FROM (SELECT unnest(generate_series(0, slots - 1)) AS slot FROM n WHERE slots > 0)
+), q AS (
+  SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block FROM k JOIN b ON point >= low AND point < high
 )
 SELECT doc_id, size, source_size, target,
-  (greatest(0, least(begin + size, quota) - begin) + greatest(0, least(begin + size + source_size, quota) - begin - source_size))::BIGINT AS taken
-FROM p
+  (greatest(0, least(begin + size, quota) - begin) + greatest(0, least(begin + size + source_size, quota) - begin - source_size))::BIGINT AS taken,
+  CASE WHEN size > 0 AND begin < quota THEN coalesce(slot, (SELECT slots FROM n)) ELSE -1 END::BIGINT AS first_slot
+FROM p LEFT JOIN q ON p.sid = q.sid AND q.block = p.begin // 2048
 """
