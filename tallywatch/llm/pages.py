@@ -13,11 +13,12 @@ template at all times if they lie outside the article and do not hold it; inside
 those named by class or role go only where the template finds them constant. A ``main``
 that holds an article is not the article.
 
-The wrapper is fitted on a bounded sample: of a reference page ``REFERENCE_NODES`` nodes at most,
-level by level, and of the neighbours with one label half of ``ALIKE`` from either end. A constant
-block that none of them holds stays in the text, and so does one that only some pages have and that
-meets blocks of its own label on the others. Counts cover all pages. Trees are walked
-with stacks of their own, so nesting may be of any depth.
+The reference trees are a bounded sample: of a reference page ``REFERENCE_NODES`` nodes at most,
+level by level, and of the neighbours with one label half of ``ALIKE`` from either end. Blocks that
+none of them holds, or that meet another of their label, are found without them: Spark counts every
+block of every page by its path of labels and its text, and one whose text stands on ``STEADY`` of the
+pages with its path, and on ``LEAST_PAGES`` different ones, is template too (``steady_keys``). Trees
+are walked with stacks of their own, so nesting may be of any depth.
 
 Copies of a page count once for ``LEAST_PAGES``, so they don't turn their text into template.
 
@@ -236,6 +237,20 @@ def constant_nodes(root: Node, template: list[tuple[Tree, frozenset[int]]]) -> s
     return {id(nodes[b]) for _, b in met if not nodes[b].fixed}
 
 
+def node_keys(root: Node) -> dict[int, bytes]:
+    """Digests of path and text, eight bytes each, by the identity of each node that a template may hold."""
+    found = {}
+    stack = [(root, b"")]
+    while stack:
+        node, above = stack.pop()
+        path = hashlib.blake2b(above + node.label.encode(), digest_size=8).digest()
+        text = "" if node.fixed else text_digest(node)
+        if text:
+            found[id(node)] = path + bytes.fromhex(text)
+        stack += [(c, path) for c in node.children if isinstance(c, Node) and not c.gone]
+    return found
+
+
 def content(root: Node, constant: set[int]) -> str:
     """Blocks of the nodes that vary, in page order."""
     blocks: list[str] = []
@@ -358,24 +373,45 @@ def templates(pages: DataFrame) -> DataFrame:
     return named.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("nth", "tree", "constant"))).alias("template"))
 
 
+def steady_keys(pages: DataFrame) -> DataFrame:
+    """``host, page, keys``: of each different page, the nodes (``node_keys``) whose text is constant on their path."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [sorted(set(node_keys(parse(html)).values())) for html in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(keys, pa.list_(pa.binary()))], ["host", "page", "keys"])
+
+    found = pages.filter(F.length("html") > 0).select("host", "page", "html").mapInArrow(run, "host string, page string, keys array<binary>")
+    by_page = written(found.filter(F.size("keys") > 0).dropDuplicates(["host", "page"]), "page-keys")
+    nodes = by_page.select("host", "page", F.explode("keys").alias("key")).withColumn("path", F.substring("key", 1, 8))
+    met = nodes.select("host", "path", "page").distinct().groupBy("host", "path").agg(F.count("*").alias("met"))
+    same = nodes.groupBy("host", "path", "key").agg(F.count("*").alias("same")).filter(F.col("same") >= LEAST_PAGES)
+    steady = written(same.join(met, ["host", "path"]).filter(F.col("same") >= STEADY * F.col("met")).select("host", "key"), "page-steady")
+    return nodes.join(steady, ["host", "key"]).groupBy("host", "page").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page, and ``n_constant``, the elements that the host's template took from it."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    known = pages.select("page_id", "url", "html", host.alias("host"))
+    known = pages.select("page_id", "url", "html", host.alias("host"), F.md5("html").alias("page"))
     patterns = written(templates(known), "page-templates")
+    steady = written(steady_keys(known), "page-constant")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees: dict[str, Tree] = {}
         for batch in batches:
             texts, counts = [], []
-            for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
+            for html, template, keys in zip(*(batch.column(c).to_pylist() for c in ("html", "template", "keys")), strict=True):
                 root = parse(html or "")
                 constant = constant_nodes(root, [(recalled(trees, t["tree"]), frozenset(t["constant"])) for t in template or ()])
+                if keys:
+                    same = set(keys)
+                    constant.update(node for node, key in node_keys(root).items() if key in same)
                 texts.append(content(root, constant))
                 counts.append(len(constant))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["page_id", "url", "text", "n_constant"])
 
     kind = dict(pages.dtypes)["page_id"]
-    joined = known.join(patterns, "host", "left")
-    texts = joined.select("page_id", "url", "html", "template").mapInArrow(run, f"page_id {kind}, url string, text string, n_constant long")
+    joined = known.join(steady, ["host", "page"], "left").join(patterns, "host", "left")
+    texts = joined.select("page_id", "url", "html", "template", "keys").mapInArrow(run, f"page_id {kind}, url string, text string, n_constant long")
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_constant")

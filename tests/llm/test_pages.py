@@ -91,3 +91,20 @@ def test_edges(spark):
     long = spark.createDataFrame([(99, "http://a.example/", "<p>word" * 100_000, "h", "t", "m")], clash.schema)
     got = {r["page_id"]: r["text"] for r in pages.main_text(clash.unionByName(long)).collect()}
     assert got[3] == "own 3" and got[99].count("word") == 100_000
+
+
+def test_constant_blocks_that_no_reference_holds(spark):
+    def form(i):
+        return f"<body><div>Start</div><div>Own {i}</div></body>"
+
+    # Pages of a second form with higher digests than three of the first, so that it gives no reference.
+    plain = sorted(range(60), key=lambda i: pages.page_digest(form(i)))
+    third = pages.page_digest(form(plain[2]))
+    other = [(i, html) for i in range(100, 160) if pages.page_digest(html := f"<body><section><p>Own {i}</p><h4>Write to us</h4></section></body>") > third][:12]
+    rows = [(i, "http://a.example/", form(i)) for i in plain] + [(i, "http://a.example/", html) for i, html in other]
+    # More neighbours of one label than a reference keeps, the constant one in the middle.
+    wide = [(1000 + i, "http://b.example/", "".join(f"<p>{i} at {k}</p>" if k != 30 else "<p>Call us now</p>" for k in range(61))) for i in range(12)]
+    found = texts(spark, rows + wide)
+    assert all(found[i] == (f"Own {i}", 1) for i in range(60))
+    assert len(other) == 12 and all(found[i] == (f"Own {i}", 1) for i, _ in other)
+    assert all(found[1000 + i] == ("\n\n".join(f"{i} at {k}" for k in range(61) if k != 30), 1) for i in range(12))
