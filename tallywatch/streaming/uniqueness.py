@@ -46,7 +46,7 @@ def id_filters(rows: DataFrame, id_column: str, date_column: str) -> DataFrame:
 
 def unseen(rows: DataFrame, id_column: str, date_column: str, table: DataFrame, filters: list[str]) -> DataFrame:
     """The rows whose id ``table`` does not hold; ``filters`` are the folders of its ``id_filters``."""
-    if not filters:
+    if not filters or rows.isEmpty():
         return rows
     stored = rows.sparkSession.read.parquet(*filters)
     widths = [r[0] for r in stored.select("width").distinct().collect()]  # at most a few dozen
@@ -59,4 +59,5 @@ def unseen(rows: DataFrame, id_column: str, date_column: str, table: DataFrame,
     if not dates:
         return rows
     held = table.where(F.col(date_column).isin(dates)).select(id_column, date_column).join(dated, [id_column, date_column], "left_semi")
-    return rows.join(held.select(id_column), id_column, "left_anti").select(*rows.columns)
+    known = written(held.select(id_column), "perhaps-held")  # few: the table is read once, however often the result is
+    return rows.join(known, id_column, "left_anti").select(*rows.columns)

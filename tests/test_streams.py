@@ -86,3 +86,8 @@ def test_filters_against_plain_sets(spark, tmp_path):
     new = spark.createDataFrame([(f"id{i}", dt.date(2024, 2, 1)) for i in range(2900, 3200)] + [("id7", dt.date(2024, 2, 2))], "id string, date date")
     assert sorted(r["id"] for r in unseen(new, "id", "date", table, folders).collect()) == sorted(f"id{i}" for i in range(3000, 3200))
     assert unseen(new, "id", "date", table.limit(0), []).count() == 301
+
+
+def test_a_batch_without_rows_reads_no_filter(spark, layers):
+    none = spark.createDataFrame([], ingest.SILVER_SCHEMA)
+    assert unseen(none, "transaction_id", "event_date", none, [f"{layers.root}/no such folder"]).isEmpty()
