@@ -175,6 +175,8 @@ def run_silver(spark: SparkSession, layers: Layers, settings: Settings = DEFAULT
     after their state is gone are found by the filters of the stored ids.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # A commit uploads what a batch changed, not the files of the whole state.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         label = _label(batch_id)

@@ -91,3 +91,10 @@ def test_filters_against_plain_sets(spark, tmp_path):
 def test_a_batch_without_rows_reads_no_filter(spark, layers):
     none = spark.createDataFrame([], ingest.SILVER_SCHEMA)
     assert unseen(none, "transaction_id", "event_date", none, [f"{layers.root}/no such folder"]).isEmpty()
+
+
+def test_a_commit_of_the_state_uploads_changes_only(spark, layers):
+    put(layers.feed, "1", [("a", "2024-01-10T00:00:00")])
+    ingest.run_update(spark, layers)
+    state = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{layers.checkpoint('silver')}/state").select("path")
+    assert not state.where("path LIKE '%.changelog'").isEmpty()
