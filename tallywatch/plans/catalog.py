@@ -254,8 +254,8 @@ def gold_running_profiles(spark, sf_dir):
 
 
 def gold_running_profiles_orders(spark, sf_dir):
-    txns = written(fixtures.order_transactions(spark, sf_dir), "order-transactions")
-    return _running(spark, txns, "gold_customer_profiles")
+    txns = fixtures.order_transactions(spark, sf_dir).select(*gold.FOOTPRINT, "amount", "event_ts")
+    return _running(spark, written(txns, "order-transactions"), "gold_customer_profiles")
 
 
 # ---- features --------------------------------------------------------------

@@ -87,15 +87,35 @@ def write_feed(lines: DataFrame, folder: str) -> None:
     lines.hint("rebalance", "feed_date").write.mode("append").partitionBy("feed_date").text(folder)
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as typed transactions: a larger fact with many same-second rows."""
-    line = table(spark, sf_dir, "lineitem")
+LINE = ("l_orderkey", "l_linenumber")
+
+
+def _merchant() -> Column:
+    return F.concat(F.lit("M"), "l_suppkey")
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    return first_arrivals(lines, list(LINE), [*map(F.col, ("l_shipdate", "l_extendedprice", "l_quantity", "l_partkey")), _merchant()])
+
+
+def scorecard(transaction_id: Column, multiplier: int = 7919) -> Column:
+    """A fixed score with ties, 0 and 1 included, in place of a model."""
+    return F.pmod(transaction_id.cast("long") * multiplier, F.lit(1001)) / F.lit(1000.0)
+
+
+def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as typed transactions, a larger fact with many same-second rows; repeated (order, line) keys are reduced to one row each.
+
+    Copies of a line go before the join, and those that a repeated order makes after it, on the
+    table's own numbers: texts are built from the rows that stay.
+    """
     order = table(spark, sf_dir, "orders")
-    return line.join(order, line.l_orderkey == order.o_orderkey).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
+    lines = _first_lines(table(spark, sf_dir, "lineitem"))
+    return _first_lines(lines.join(order, lines.l_orderkey == order.o_orderkey)).select(
+        F.concat_ws("-", *LINE).alias("transaction_id"),
         F.col("o_orderdate").cast("timestamp").alias("event_ts"),
         F.concat(F.lit("C"), "o_custkey").alias("customer_id"),
-        F.concat(F.lit("M"), "l_suppkey").alias("merchant_id"),
+        _merchant().alias("merchant_id"),
         F.concat(F.lit("cat"), F.col("l_suppkey") % 10).alias("merchant_category"),
         F.col("l_extendedprice").alias("amount"),
         F.lit("USD").alias("currency"),
@@ -104,24 +124,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "online").otherwise("pos").alias("channel"),
         (F.col("l_returnflag") == "R").cast("int").alias("is_fraud"),
         F.when(F.col("l_returnflag") == "R", "returned").alias("fraud_type"),
-        F.col("l_shipdate"),
-        F.col("l_quantity"),
-        F.col("l_partkey"),
     )
 
 
-def scorecard(transaction_id: Column, multiplier: int = 7919) -> Column:
-    """A fixed score with ties, 0 and 1 included, in place of a model."""
-    return F.pmod(transaction_id.cast("long") * multiplier, F.lit(1001)) / F.lit(1000.0)
-
-
-def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the repeated (order, line) keys reduced to one row each."""
-    order = [F.col(c) for c in ("l_shipdate", "amount", "l_quantity", "l_partkey", "merchant_id")]
-    rows = first_arrivals(order_lines(spark, sf_dir), ["transaction_id"], order)
-    return rows.drop("l_shipdate", "l_quantity", "l_partkey")
-
-
 def points(features: DataFrame) -> DataFrame:
     """A fixed points score on the features, in place of a model."""
     over = stable_round(F.col("amount_over_avg"), 6)

@@ -9,6 +9,7 @@ from test_verdict import put
 from tallywatch.operators import gold
 from tallywatch.plans.lifecycle import WHOLE_HISTORY, Warehouse
 from tallywatch.session import child_names, new_folder
+from tallywatch.sources import fixtures
 from tallywatch.sources.running import KEPT, RunningTable
 
 DDL = ("batch string, customer_id string, country string, device_id string, merchant_id string, merchant_category string, "
@@ -81,3 +82,18 @@ def test_only_new_batches_of_clean_rows_are_read(spark):
     version = house.history("gold_merchant_stats").latest()
     house.update()
     assert house.history("gold_merchant_stats").latest() == version
+
+
+def test_repeated_lines_and_orders_make_one_transaction_of_numbers_dealt_once(spark, tmp_path):
+    day = dt.date(1995, 1, 2)
+    lines = [(o, n, day + dt.timedelta(d), 10.0 * (o or 0) + (n or 0), 1.0, 3, s, "R", "O") for o in (1, 2, 3, None) for n in (1, 2, None) for d, s in ((1, 9), (0, 10), (0, 9))]
+    columns = "l_orderkey long, l_linenumber int, l_shipdate date, l_extendedprice double, l_quantity double, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7, day), (1, 7, day), (2, None, day)], "o_orderkey long, o_custkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    found = fixtures.order_transactions(spark, str(tmp_path))
+    got = sorted((r["transaction_id"], r["customer_id"], r["merchant_id"], r["amount"]) for r in found.select("*").collect())
+    # Of the earliest copies the merchant first in the order of texts: M10 before M9.
+    assert [(t, c, m) for t, c, m, _ in got] == [(f"{o}{n}", c, "M10") for o, c in ((1, "C7"), (2, None)) for n in ("", "-1", "-2")]
+    assert [a for *_, a in got] == [10.0, 11.0, 12.0, 20.0, 21.0, 22.0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(transaction_id" not in plan
