@@ -100,3 +100,15 @@ def test_columns_against_all_fillings():
         used.update({n: a * times for n, a in column.items()})
     assert all(used[n] + left.get(n, 0) == c for n, c in counts.items())
     assert sum(n * c for n, c in left.items()) < 0.1 * sum(n * c for n, c in counts.items())
+
+
+def test_plain_words_do_without_normalizer(monkeypatch):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    known, slow = packing.Words(tokenizer), []
+    add = known.add
+    monkeypatch.setattr(known, "add", lambda words: (slow.extend(words), add(words)))
+    draw = random.Random(5)
+    letters = ["".join(draw.choices(packing.LETTERS, k=draw.randint(1, 12))) for _ in range(2000)]
+    texts = [" ".join([*letters, "Word,", "it's", "x\u0301y", "a1", "\u65e5", "<|endoftext|>", "<|x|> UPPER"]), *letters, "", "one"]
+    assert [list(np.frombuffer(raw, "<u4")) for raw in known.ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert slow and not any(packing.PLAIN.fullmatch(w) for w in slow)
